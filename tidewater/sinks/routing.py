@@ -24,6 +24,10 @@ def target_table(path: Column) -> Column:
     return target
 
 
+def without_key(fields: Column, name: str) -> Column:
+    return F.map_filter(fields, lambda k, _: k != name)
+
+
 def routed_items(rows: DataFrame, path: str = "source_path") -> DataFrame:
     """(target, item): the non-empty fields of each row that has a target.
 
@@ -36,7 +40,7 @@ def routed_items(rows: DataFrame, path: str = "source_path") -> DataFrame:
     for table, station in STATIONS.items():
         if station in names:
             value = F.coalesce(F.when(F.col(station) != "", F.col(station)), F.lit("Unknown"))
-            others = F.map_filter(item, lambda k, _, s=station: k != s)
+            others = without_key(item, station)
             named = F.map_concat(others, F.create_map(F.lit("StationName"), value))
             item = F.when(F.col("target") == table, named).otherwise(item)
     return routed.select("target", item.alias("item"))

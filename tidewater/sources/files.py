@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # One named option set for delimited loads: quoted fields, one header line
@@ -17,7 +17,7 @@ LOG_COLUMNS = (
     "test_mode", "flow_id", "flow_type", "sdk_date", "publisher_id", "game_id", "bundle_id", "appv", "language", "os",
     "adv_id", "gdpr", "ccpa", "country_code", "date",
 )
-NO_NULL = "\u0001"
+LATIN_GAP = "".join(map(chr, range(0x80, 0xA0)))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -46,34 +46,41 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
     return reader.csv(path)
 
 
-def read_csv_any_encoding(spark: SparkSession, path: str, fallback: str = "windows-1252") -> DataFrame:
-    """UTF-8 text CSV, or the fallback encoding when some line is not valid UTF-8."""
-    broken = spark.read.text(path).filter(~F.is_valid_utf8("value"))
-    return read_text_csv(spark, path, encoding="utf-8" if broken.isEmpty() else fallback)
+def read_csv_any_encoding(spark: SparkSession, path: str) -> DataFrame:
+    """UTF-8 text CSV, or windows-1252 when some line is not valid UTF-8."""
+    if spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty():
+        return read_text_csv(spark, path)
+    # the reader knows ISO-8859-1, which differs from windows-1252 in 0x80 to 0x9F only
+    latin = read_text_csv(spark, path, encoding="iso-8859-1")
+    meant = bytes(range(0x80, 0xA0)).decode("windows-1252", errors="replace")
+    renamed = str.maketrans(LATIN_GAP, meant)
+    return latin.select(*(F.translate(f"`{c}`", LATIN_GAP, meant).alias(c.translate(renamed)) for c in latin.columns))
 
 
-def log_schema() -> str:
-    return ", ".join(f"{c} string" for c in (*LOG_COLUMNS, "_extra"))
+def overlong(line: Column) -> Column:
+    """True for a line with more fields than log columns: its commas, those in quotes aside, tell."""
+    unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
+    return F.length(F.regexp_replace(unquoted, "[^,]", "")) >= len(LOG_COLUMNS)
 
 
-def log_options() -> dict[str, str]:
-    """Empty fields stay apart from missing ones, so that a line with too many fields shows."""
-    return {"sep": ",", "quote": '"', "escape": '"', "header": "false", "nullValue": NO_NULL, "mode": "PERMISSIVE"}
+def parse_log(lines: DataFrame) -> DataFrame:
+    """Log rows from text lines, all columns text.
 
-
-def keep_log_rows(raw: DataFrame) -> DataFrame:
-    """Drops lines with too many fields; short lines are padded with null; blanks become null."""
-    fitting = raw.filter(F.col("_extra").isNull())
-    return fitting.select(*(F.when(F.col(c) != "", F.col(c)).alias(c) for c in LOG_COLUMNS))
+    Lines with too many fields and blank lines are dropped; short lines stay, padded with
+    null. (The CSV reader marks long and short lines alike, hence the look at the text.)
+    """
+    fitting = lines.filter((F.trim("value") != "") & ~overlong(F.col("value")))
+    schema = ", ".join(f"{c} string" for c in LOG_COLUMNS)
+    return fitting.select(F.from_csv("value", schema, {"quote": '"', "escape": '"'}).alias("_l")).select("_l.*")
 
 
-def overlong_log_rows(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("_extra").isNotNull())
+def overlong_log_lines(lines: DataFrame) -> DataFrame:
+    return lines.filter(overlong(F.col("value")))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """A headerless SDK log with imposed column names, all text."""
-    return keep_log_rows(spark.read.schema(log_schema()).options(**log_options()).csv(path))
+    """A headerless SDK log with imposed column names."""
+    return parse_log(spark.read.text(path))
 
 
 def read_vector(spark: SparkSession, path: str) -> DataFrame:

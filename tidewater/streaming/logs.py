@@ -15,7 +15,7 @@ from tidewater.functions.dates import epoch_seconds
 from tidewater.operators.alerts import ALERT_COLUMNS, KeySpikeRule, Rule, SpikeRule, apply_rules
 from tidewater.operators.rolling import micros
 from tidewater.operators.validation import require_columns
-from tidewater.sources.files import keep_log_rows, log_options, log_schema
+from tidewater.sources.files import parse_log
 
 REQUIRED = ("severity", "date", "bundle_id")
 LOGGER = logging.getLogger(__name__)
@@ -23,12 +23,12 @@ LOGGER = logging.getLogger(__name__)
 
 def log_stream(spark: SparkSession, folder: str, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
     """New ``.csv`` files of a folder, each read once; with ``archive``, moved there when done."""
-    reader = spark.readStream.schema(log_schema()).options(**log_options()).option("pathGlobFilter", "*.csv")
+    reader = spark.readStream.format("text").option("pathGlobFilter", "*.csv")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return keep_log_rows(reader.csv(folder))
+    return parse_log(reader.load(folder))
 
 
 def clean_log(rows: DataFrame, metrics: str | None = "log_quality") -> DataFrame:
