@@ -163,7 +163,7 @@ def test_combined_document(spark, tmp_path):
 
 def test_csv_and_monthly_split(spark, tmp_path):
     rows = spark.createDataFrame([("2020-05-01 10:00", 1), ("2020-05-31 23:59", 2), ("2020-06-01 00:00", 3)], "`Departure time` string, data int")
-    out.split_by_month(rows, F.to_timestamp("Departure time"), str(tmp_path / "months"), files_per_month=2)
+    out.split_by_month(rows, F.to_timestamp("Departure time"), str(tmp_path / "months"))
     folders = sorted(p.name for p in (tmp_path / "months").glob("month=*"))
     assert folders == ["month=2020-05", "month=2020-06"]
     may = src.read_text_csv(spark, str(tmp_path / "months/month=2020-05"))

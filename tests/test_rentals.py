@@ -22,12 +22,12 @@ def shop(spark):
 
 def test_stock(shop):
     inventory, rentals = shop
-    assert sorted(r.item for r in rn.in_stock(inventory, rentals, "item", "returned").collect()) == [1, 3, 5]
-    assert sorted(r.item for r in rn.not_in_stock(inventory, rentals, "item", "returned").collect()) == [2, 4]
-    args = (inventory, rentals, 1, 1, "film", "store", "item", "returned")
+    assert sorted(r.item for r in rn.in_stock(inventory, rentals, ["item"], "returned").collect()) == [1, 3, 5]
+    assert sorted(r.item for r in rn.not_in_stock(inventory, rentals, ["item"], "returned").collect()) == [2, 4]
+    args = (inventory, rentals, 1, 1, "film", "store", ["item"], "returned")
     assert sorted(r.item for r in rn.film_in_stock(*args).collect()) == [1, 3]
     assert [r.item for r in rn.film_not_in_stock(*args).collect()] == [2]
-    assert sorted(tuple(r) for r in rn.held_by(rentals, "item", "customer", "returned").collect()) == [(2, 11), (4, 10)]
+    assert sorted(tuple(r) for r in rn.held_by(rentals, ["item"], "customer", "returned").collect()) == [(2, 11), (4, 10)]
 
 
 def test_customer_balance(spark):

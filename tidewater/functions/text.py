@@ -24,8 +24,8 @@ def clean_text_column(df: DataFrame, column: str) -> DataFrame:
 
 
 def tokens(*texts: Column) -> Column:
-    """Lower-case words of the texts, without stemming."""
-    return F.filter(F.split(F.lower(F.concat_ws(" ", *texts)), TOKEN_BREAK), lambda w: w != "")
+    """Lower-case words of the texts, without stemming; may begin and end with an empty one."""
+    return F.split(F.lower(F.concat_ws(" ", *texts)), TOKEN_BREAK)
 
 
 def has_all_terms(words: Column, terms: Sequence[str]) -> Column:

@@ -2,39 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import month_back
-from tidewater.operators.joins import without_match
 
 
-def held_by(rentals: DataFrame, item: str, customer: str, returned: str) -> DataFrame:
-    """(item, customer) of every rental not returned."""
-    return rentals.filter(F.col(returned).isNull()).select(item, customer)
+def held_by(rentals: DataFrame, item: Sequence[str], customer: str, returned: str) -> DataFrame:
+    """(item columns, customer) of every rental not returned."""
+    return rentals.filter(F.col(returned).isNull()).select(*item, customer)
+
+
+def out_items(rentals: DataFrame, item: Sequence[str], returned: str) -> DataFrame:
+    return rentals.filter(F.col(returned).isNull()).select(*item).distinct()
 
 
-def in_stock(inventory: DataFrame, rentals: DataFrame, item: str, returned: str) -> DataFrame:
+def in_stock(inventory: DataFrame, rentals: DataFrame, item: Sequence[str], returned: str) -> DataFrame:
     """Items without an open rental; an item never rented is in stock."""
-    return without_match(inventory, rentals.filter(F.col(returned).isNull()), item, item)
+    return inventory.join(out_items(rentals, item, returned), list(item), "left_anti")
 
 
-def not_in_stock(inventory: DataFrame, rentals: DataFrame, item: str, returned: str) -> DataFrame:
-    out = rentals.filter(F.col(returned).isNull()).select(item).distinct()
-    return inventory.join(out, item, "left_semi")
+def not_in_stock(inventory: DataFrame, rentals: DataFrame, item: Sequence[str], returned: str) -> DataFrame:
+    return inventory.join(out_items(rentals, item, returned), list(item), "left_semi")
 
 
 def film_in_stock(inventory: DataFrame, rentals: DataFrame, film, store, film_col: str, store_col: str,
-                  item: str, returned: str) -> DataFrame:
+                  item: Sequence[str], returned: str) -> DataFrame:
     """Item ids of one film in one store that are in stock."""
     copies = inventory.filter((F.col(film_col) == film) & (F.col(store_col) == store))
-    return in_stock(copies, rentals, item, returned).select(item)
+    return in_stock(copies, rentals, item, returned).select(*item)
 
 
 def film_not_in_stock(inventory: DataFrame, rentals: DataFrame, film, store, film_col: str, store_col: str,
-                      item: str, returned: str) -> DataFrame:
+                      item: Sequence[str], returned: str) -> DataFrame:
     copies = inventory.filter((F.col(film_col) == film) & (F.col(store_col) == store))
-    return not_in_stock(copies, rentals, item, returned).select(item)
+    return not_in_stock(copies, rentals, item, returned).select(*item)
 
 
 def customer_balance(customers: DataFrame, rentals: DataFrame, payments: DataFrame, as_of: Column,

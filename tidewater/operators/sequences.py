@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ranking import join_null_safe
-
 SLICE_WIDTH = 65536
 
 
@@ -25,34 +23,40 @@ def slice_of(order: str, width: int = SLICE_WIDTH) -> Column:
 
 def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
                 alias: str = "running") -> DataFrame:
-    """Sum of ``value`` over all rows of the key up to the current one, peers included."""
+    """Sum of ``value`` over all rows of the key up to the current one, peers included.
+
+    The sum of the earlier slices enters a slice as a row ahead of all others, so rows are
+    shuffled once and joined to nothing.
+    """
     sliced = df.withColumn("_slice", slice_of(order) if part is None else part)
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*keys, "_slice", F.sum("_total").over(before).alias("_base"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
-    rows = sliced.withColumn("_inside", F.sum(value).over(inside))
+    opening = totals.select(*keys, "_slice", F.sum("_total").over(before).alias("_step"), F.lit(True).alias("_opens"))
+    rows = sliced.withColumns({"_step": F.col(value), "_opens": F.lit(False)})
+    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc("_opens"), order)
+    to_here = F.sum("_step").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        join_null_safe(rows, bases, [*keys, "_slice"])
-        .withColumn(alias, F.coalesce("_inside", F.lit(0)) + F.coalesce("_base", F.lit(0)))
-        .drop("_slice", "_inside", "_base")
+        rows.unionByName(opening.filter("_step IS NOT NULL"), allowMissingColumns=True)
+        .withColumn(alias, to_here).filter(~F.col("_opens")).drop("_slice", "_step", "_opens")
     )
 
 
 def with_previous(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
                   alias: str = "previous") -> DataFrame:
-    """Adds the preceding value of the sequence as ``struct(value)``; null struct for the first row."""
+    """Adds the preceding value of the sequence as ``struct(value)``; null struct for the first row.
+
+    The last value of the slice before enters a slice as a row ahead of all others.
+    """
     sliced = df.withColumn("_slice", slice_of(order) if part is None else part)
     boxed = F.struct(F.col(value).alias("value"))
     lasts = sliced.groupBy(*keys, "_slice").agg(F.max_by(boxed, F.col(order)).alias("_last"))
     across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = lasts.select(*keys, "_slice", F.lag("_last").over(across).alias("_carried"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(order)
-    rows = sliced.withColumn("_before", F.lag(boxed).over(inside))
+    opening = lasts.select(*keys, "_slice", F.lag("_last").over(across).alias("_box"), F.lit(True).alias("_opens"))
+    rows = sliced.withColumns({"_box": boxed, "_opens": F.lit(False)})
+    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc("_opens"), order)
     return (
-        join_null_safe(rows, carried, [*keys, "_slice"])
-        .withColumn(alias, F.coalesce("_before", "_carried"))
-        .drop("_slice", "_before", "_carried")
+        rows.unionByName(opening.filter("_box IS NOT NULL"), allowMissingColumns=True)
+        .withColumn(alias, F.lag("_box").over(inside)).filter(~F.col("_opens")).drop("_slice", "_box", "_opens")
     )
 
 

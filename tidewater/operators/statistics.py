@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.ranking import join_null_safe
+from tidewater.operators.sequences import running_sum
 
-GRID = 512
+GRID = 1024
 ACCURACY = 20000
+SALT = 16
+BRACKET_SLICES = 256
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
@@ -40,27 +43,28 @@ def share_in_group(df: DataFrame, group: str, value: str, wanted: Sequence) -> D
 
 
 def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
-                grid: int = GRID) -> DataFrame:
-    """Exact linearly interpolated percentiles per key: (keys, n, p0, p1, ...).
+                grid: int = GRID, also: Sequence[Column] = ()) -> DataFrame:
+    """Exact linearly interpolated percentiles per key: (keys, n, p0, p1, ..., also).
 
     A built-in exact percentile holds every distinct value of a group in one task. Here a
     first pass sketches each group (bounded state, merged map-side) on a grid of ranks.
     The sketch only brackets each wanted rank between two grid values; the second pass
     counts what lies below a bracket and keeps the few values inside it, from which the
     exact order statistics are read. A bracket that misses its rank raises an error.
+    ``also`` are further aggregates of the non-null ``value`` to take in the first pass.
     """
     points = F.array(*(F.lit(i / grid) for i in range(grid + 1)))
-    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    sketch = present.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.percentile_approx("_v", points, ACCURACY).alias("_g")
-    )
+    present = df.filter(F.col(value).isNotNull()).select(*keys, value, F.col(value).cast("double").alias("_v"))
+    facts = F.struct(F.count("*").alias("n"), *also)
+    sketch = present.groupBy(*keys).agg(facts.alias("_f"), F.percentile_approx("_v", points, ACCURACY).alias("_g"))
+    n = F.col("_f.n")
 
     def bracket(i: int, p: float) -> Column:
-        position = F.lit(float(p)) * (F.col("n") - 1)
+        position = F.lit(float(p)) * (n - 1)
         low = F.floor(position)
         high = F.ceil(position)
-        cell = F.floor(low * F.lit(grid) / F.col("n")).cast("int")
-        top = F.ceil(high * F.lit(grid) / F.col("n")).cast("int")
+        cell = F.floor(low * F.lit(grid) / n).cast("int")
+        top = F.ceil(high * F.lit(grid) / n).cast("int")
         return F.struct(
             F.lit(i).alias("i"),
             low.alias("low"),
@@ -70,49 +74,53 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
             F.element_at("_g", F.least(top + 1, F.lit(grid)) + 1).alias("to"),
         )
 
-    wanted = sketch.select(*keys, "n", F.array(*(bracket(i, p) for i, p in enumerate(probs))).alias("_b"))
+    brackets = F.array(*(bracket(i, p) for i, p in enumerate(probs)))
     if keys:
-        bracketed = join_null_safe(present, wanted, keys)
+        # a hot key meets its brackets in SALT places
+        copies = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+        wanted = sketch.select(*keys, "_f", brackets.alias("_b")).withColumn("_salt", copies)
+        salted = present.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALT)).cast("int"))
+        bracketed = join_null_safe(salted, wanted, [*keys, "_salt"])
     else:
-        bracketed = present.withColumn("_w", wanted.select(F.struct("n", "_b")).scalar()).select("_v", "_w.n", "_w._b")
+        found = sketch.select(F.struct("_f", brackets.alias("_b"))).scalar()
+        bracketed = present.withColumn("_w", found).select("_v", "_w._f", "_w._b")
     cells = bracketed.select(
-        *keys, "n", "_v", F.explode(F.filter("_b", lambda b: F.col("_v") <= b["to"])).alias("_b")
+        *keys, "_f", "_v", F.explode(F.filter("_b", lambda b: F.col("_v") <= b["to"])).alias("_b")
     ).groupBy(
-        *keys, "n", "_b", F.when(F.col("_v") >= F.col("_b.from"), F.col("_v")).alias("_v")
+        *keys, "_f", "_b", F.when(F.col("_v") >= F.col("_b.from"), F.col("_v")).alias("_v")
     ).agg(F.count("*").alias("_c"))
-    # the null value stands for everything below the bracket and sorts first
-    order = Window.partitionBy(*keys, "_b.i").orderBy(F.asc_nulls_first("_v"))
-    ranked = cells.withColumn("_to", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # the null value stands for everything below the bracket; the rest is cut into slices
+    width = (F.col("_b.to") - F.col("_b.from")) / F.lit(BRACKET_SLICES)
+    slice_no = F.when(F.col("_v").isNull(), -1).when(width > 0, F.floor((F.col("_v") - F.col("_b.from")) / width)).otherwise(0)
+    numbered = cells.withColumns({"_i": F.col("_b.i"), "_cut": slice_no})
+    ranked = running_sum(numbered, "_v", "_c", [*keys, "_i"], F.col("_cut"), "_to")
 
     def at(rank: str) -> Column:
         inside = (F.col(f"_b.{rank}") < F.col("_to")) & (F.col(f"_b.{rank}") >= F.col("_to") - F.col("_c"))
         return F.max(F.when(inside, F.col("_v")))
 
-    ends = ranked.groupBy(*keys, "n", F.col("_b.i").alias("_i"), F.col("_b.part").alias("_part")).agg(
+    ends = ranked.groupBy(*keys, "_f", "_i", F.col("_b.part").alias("_part")).agg(
         at("low").alias("_lo"), at("high").alias("_hi")
     )
     checked = F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), F.raise_error(F.lit("percentile bracket missed")))
     interpolated = checked.otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part"))
-    return ends.withColumn("_x", interpolated).groupBy(*keys, "n").agg(
+    return ends.withColumn("_x", interpolated).groupBy(*keys, "_f").agg(
         *(F.max(F.when(F.col("_i") == i, F.col("_x"))).alias(f"p{i}") for i in range(len(probs)))
-    )
+    ).select(*keys, "_f.*", *(f"p{i}" for i in range(len(probs))))
 
 
 def describe(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per group; rows with a null key are left out."""
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per group; rows with a null key are left out.
+
+    A group without any value is absent.
+    """
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    moments = df.groupBy(*keys).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    quartiles = percentiles(df, value, [0.25, 0.5, 0.75], keys).select(
-        *keys, F.col("p0").alias("q25"), F.col("p1").alias("q50"), F.col("p2").alias("q75")
-    )
-    return moments.join(quartiles, list(keys), "left")
+    moments = [
+        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
+    ]
+    names = {"n": "count", "p0": "q25", "p1": "q50", "p2": "q75"}
+    return percentiles(df, value, [0.25, 0.5, 0.75], keys, also=moments).withColumnsRenamed(names)
 
 
 def first_percentile_above(df: DataFrame, value: str, threshold: float) -> DataFrame:

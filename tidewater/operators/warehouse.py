@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ranking import first_per_key, join_null_safe
+from tidewater.operators.ranking import first_per_key
 
 NUMBER_BUCKETS = 1024
 
@@ -67,22 +67,24 @@ def insert_ignore_unique(target: DataFrame, batch: DataFrame, keys: Sequence[str
 
 
 def surrogate_keys(df: DataFrame, keys: Sequence[str], name: str, start: int | Column = 0,
-                   bucket: Column | None = None) -> DataFrame:
+                   bucket: Column | None = None, buckets: int = NUMBER_BUCKETS) -> DataFrame:
     """Numbers unique natural keys densely from ``start + 1``, the same on every run.
 
     Numbering in one global order is one task. Keys are numbered inside buckets (a hash of
     the key by default) and shifted by the sizes of the lower buckets, so the only table a
-    single task sees is the list of bucket sizes, at most one row per bucket.
+    single task sees is the list of bucket sizes, at most one row per bucket. More buckets
+    suit larger inputs; their number is part of the numbering.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(NUMBER_BUCKETS)) if bucket is None else bucket)
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    bucketed = df.withColumn("_bucket", hashed if bucket is None else F.coalesce(bucket, F.lit(-1)))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size")).select(
-        F.col("_bucket"), F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_shift")
+        "_bucket", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_shift")
     )
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        join_null_safe(bucketed.withColumn("_place", place), shifts, ["_bucket"])
+        bucketed.withColumn("_place", place).join(shifts, "_bucket")
         .withColumn(name, (first + F.col("_shift") + F.col("_place")).cast("bigint"))
         .drop("_bucket", "_place", "_shift")
     )
@@ -136,31 +138,27 @@ def versioned_dimension(dim: DataFrame, batch: DataFrame, key: str, attributes:
 
     ``dim`` has the key, the attributes, ``valid_from``, ``valid_to`` and ``is_current``.
     """
-    incoming = first_per_key(batch, [key], order).select(
-        key, F.struct(*attributes).alias("_new")
-    )
-    joined = dim.join(incoming, key, "left")
-    differs = F.col("is_current") & F.col("_new").isNotNull() & ~F.struct(*attributes).eqNullSafe(F.col("_new"))
-    kept = joined.withColumn("_closed", differs).select(
-        key,
-        *attributes,
-        "valid_from",
-        F.when(F.col("_closed"), as_of).otherwise(F.col("valid_to")).alias("valid_to"),
-        (F.col("is_current") & ~F.col("_closed")).alias("is_current"),
-    )
-    now = dim.filter("is_current").select(F.col(key).alias("_k"), F.struct(*attributes).alias("_old"))
-    opened = (
-        incoming.join(now, F.col(key) == F.col("_k"), "left")
-        .filter(~F.coalesce(F.col("_old").eqNullSafe(F.col("_new")), F.lit(False)))
-        .select(
-            key,
-            *(F.col(f"_new.{a}").alias(a) for a in attributes),
-            as_of.alias("valid_from"),
-            F.lit(None).cast(dim.schema["valid_to"].dataType).alias("valid_to"),
-            F.lit(True).alias("is_current"),
+    incoming = first_per_key(batch, [key], order).select(key, F.struct(*attributes).alias("_new"))
+    current = F.coalesce("is_current", F.lit(False))
+    closed_type = dim.schema["valid_to"].dataType
+
+    def version(values: Column, valid_from: Column, valid_to: Column, is_current: Column) -> Column:
+        return F.struct(
+            F.col(key),
+            *(values[a].alias(a) for a in attributes),
+            valid_from.cast(dim.schema["valid_from"].dataType).alias("valid_from"),
+            valid_to.cast(closed_type).alias("valid_to"),
+            is_current.alias("is_current"),
         )
-    )
-    return kept.unionByName(opened)
+
+    members = dim.filter(current).select(key, F.struct(*attributes).alias("_old"), "valid_from", "valid_to")
+    joined = members.join(incoming, key, "full")
+    opens = F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
+    before = version(F.col("_old"), F.col("valid_from"), F.when(opens, as_of).otherwise(F.col("valid_to")), ~opens)
+    after = version(F.col("_new"), as_of, F.lit(None), F.lit(True))
+    rows = F.array_compact(F.array(F.when(F.col("_old").isNotNull(), before), F.when(opens, after)))
+    versions = joined.select(F.inline(rows))
+    return versions.unionByName(dim.filter(~current).select(*versions.columns))
 
 
 def lookup_facts(staged: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str]]],
@@ -230,13 +228,14 @@ def publish(df: DataFrame, base: str, version: str, partition_by: Sequence[str]
     """Writes a table version to a folder of its own and returns it as read back.
 
     A version never overwrites the files its plan reads; pass the same version to repeat
-    a failed write.
+    a failed write. Rows are rebalanced by the partition columns first: adaptive execution
+    gives a small partition one file and splits a large one over tasks.
     """
     path = f"{base}/version={version}"
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

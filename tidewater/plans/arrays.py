@@ -113,7 +113,7 @@ def array_members(t):
 )
 def explode_tokens(t):
     words = t.documents.select(F.explode(tokens(F.col("text"))).alias("word"))
-    return words.groupBy("word").agg(F.count("*").alias("n"))
+    return words.filter("word != ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query("SELECT DISTINCT l_linenumber, l_returnflag, l_linestatus FROM lineitem ORDER BY ALL")

@@ -8,6 +8,7 @@ from tidewater.operators import rentals as rn
 from tidewater.registry import query
 
 AS_OF = "1999-06-15"
+ITEM = ["l_partkey", "l_suppkey", "l_linenumber"]
 RETURNED_SQL = "CASE WHEN l_linestatus <> 'O' THEN l_shipdate END"
 
 
@@ -39,16 +40,18 @@ def customers(t):
 def copies(t):
     """Rentals by item; the film is the part, the store the line number."""
     return t.lineitem.select(
-        F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber").alias("item_id"),
-        "l_partkey",
-        "l_linenumber",
+        *ITEM,
         "l_orderkey",
         F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("return_date"),
     )
 
 
+def labelled(items):
+    return items.select(F.concat_ws("-", *ITEM).alias("item_id"))
+
+
 def inventory(t):
-    return copies(t).select("item_id", "l_partkey", "l_linenumber").distinct()
+    return copies(t).select(*ITEM).distinct()
 
 
 @query(
@@ -84,7 +87,8 @@ def rewards(t):
 )
 def held_by(t):
     held = copies(t).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rn.held_by(held, "item_id", "o_custkey", "return_date").distinct().withColumnRenamed("o_custkey", "customer_id")
+    pairs = rn.held_by(held, ITEM, "o_custkey", "return_date").distinct()
+    return pairs.select(F.concat_ws("-", *ITEM).alias("item_id"), F.col("o_custkey").alias("customer_id"))
 
 
 @query(
@@ -92,7 +96,7 @@ def held_by(t):
        GROUP BY l_partkey, l_suppkey, l_linenumber HAVING count(*) FILTER (l_linestatus = 'O') = 0"""
 )
 def in_stock(t):
-    return rn.in_stock(inventory(t), copies(t), "item_id", "return_date").select("item_id")
+    return labelled(rn.in_stock(inventory(t), copies(t), ITEM, "return_date"))
 
 
 @query(
@@ -100,7 +104,7 @@ def in_stock(t):
        GROUP BY l_partkey, l_suppkey, l_linenumber HAVING count(*) FILTER (l_linestatus = 'O') = 0"""
 )
 def film_in_stock(t):
-    return rn.film_in_stock(inventory(t), copies(t), 7, 3, "l_partkey", "l_linenumber", "item_id", "return_date")
+    return labelled(rn.film_in_stock(inventory(t), copies(t), 7, 3, "l_partkey", "l_linenumber", ITEM, "return_date"))
 
 
 @query(
@@ -108,4 +112,4 @@ def film_in_stock(t):
        GROUP BY l_partkey, l_suppkey, l_linenumber HAVING count(*) FILTER (l_linestatus = 'O') > 0"""
 )
 def film_not_in_stock(t):
-    return rn.film_not_in_stock(inventory(t), copies(t), 7, 3, "l_partkey", "l_linenumber", "item_id", "return_date")
+    return labelled(rn.film_not_in_stock(inventory(t), copies(t), 7, 3, "l_partkey", "l_linenumber", ITEM, "return_date"))

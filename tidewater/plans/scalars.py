@@ -297,7 +297,7 @@ def not_in_sub(t):
 
 @query("SELECT doc_id, source, CAST(length(text) AS BIGINT) AS n_chars, content FROM (SELECT *, text AS content FROM documents)")
 def sort_created(t):
-    ordered = va.when_column(t.documents, "source", lambda df: df.orderBy(F.asc_nulls_last("source")))
+    ordered = va.when_column(t.documents, "source", lambda df: df.orderBy(F.asc_nulls_last("source"), "doc_id"))
     return ordered.select(
         "doc_id", "source", F.length("text").cast("bigint").alias("n_chars"), F.col("text").alias("content")
     )

@@ -322,7 +322,7 @@ def audit_tail(t):
 )
 def partition_prune(t):
     # written once by month; the range then opens three of the month folders
-    facts = t.orders.withColumn("month", month_label(F.col("o_orderdate"))).repartition("month")
+    facts = t.orders.withColumn("month", month_label(F.col("o_orderdate")))
     base = f"{shared_folder(t.spark)}/month_facts"
     stored = wh.publish(facts, base, uuid.uuid4().hex, ["month"])
     quarter = stored.filter((F.col("month") >= "1998-01") & (F.col("month") < "1998-04"))

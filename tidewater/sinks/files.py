@@ -62,17 +62,13 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def split_by_month(df: DataFrame, ts: Column, path: str, files_per_month: int = 1) -> None:
+def split_by_month(df: DataFrame, ts: Column, path: str) -> None:
     """One folder per calendar month (``month=yyyy-MM``) with the original columns.
 
-    Rows are grouped by month before writing; more files per month spread a large month
-    over that many tasks.
+    Rows are rebalanced by month: a small month is one file, a large one several.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-    monthly = df.withColumn("month", month_label(ts)).withColumn("_spread", spread)
-    monthly.repartition("month", "_spread").drop("_spread").write.mode("overwrite").partitionBy("month").option(
-        "header", True
-    ).csv(path)
+    monthly = df.withColumn("month", month_label(ts)).hint("rebalance", "month")
+    monthly.write.mode("overwrite").partitionBy("month").option("header", True).csv(path)
 
 
 def documents(df: DataFrame) -> DataFrame:
