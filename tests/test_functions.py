@@ -37,6 +37,10 @@ def test_names(spark):
     assert one(spark, text.file_name(F.col("p")), p=("a/b/c.csv", "string")) == "c.csv"
     words = text.tokens(F.col("t"), F.col("d"))
     assert one(spark, text.has_all_terms(words, ["Fate", "india"]), t=("FATE!", "string"), d=("in India.", "string"))
+    for words_of, term, want in (("the Fäte", "fäte", True), ("fate2", "fate", False), ("a_fate_b", "fate", True), (None, "fate", False)):
+        assert one(spark, text.mentions_all_terms([term], F.col("t")), t=(words_of, "string")) is want
+    with pytest.raises(ValueError):
+        text.mentions_all_terms(["a.b"], F.col("t"))
     assert not one(spark, text.has_all_terms(words, ["fat"]), t=("FATE!", "string"), d=(None, "string"))
 
 

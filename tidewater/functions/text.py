@@ -29,9 +29,19 @@ def tokens(*texts: Column) -> Column:
 
 
 def has_all_terms(words: Column, terms: Sequence[str]) -> Column:
+    """True where every term is among the words of a stored token column."""
+    wanted = sorted({t.lower() for t in terms})
+    return F.size(F.array_intersect(F.array(*(F.lit(t) for t in wanted)), words)) == len(wanted)
+
+
+def mentions_all_terms(terms: Sequence[str], *texts: Column) -> Column:
+    """The same on the texts themselves: each term is sought as a whole word, no word list is built."""
+    lowered = F.lower(F.concat_ws(" ", *texts))
     found = F.lit(True)
     for term in terms:
-        found = found & F.array_contains(words, term.lower())
+        if not term.isalnum():
+            raise ValueError(f"a term is one word of letters and digits: {term!r}")
+        found = found & lowered.rlike(rf"(?<![\p{{L}}\p{{N}}]){term.lower()}(?![\p{{L}}\p{{N}}])")
     return found
 
 

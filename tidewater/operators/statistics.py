@@ -95,18 +95,20 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
     numbered = cells.withColumns({"_i": F.col("_b.i"), "_cut": slice_no})
     ranked = running_sum(numbered, "_v", "_c", [*keys, "_i"], F.col("_cut"), "_to")
 
-    def at(rank: str) -> Column:
+    def end(i: int, rank: str) -> Column:
         inside = (F.col(f"_b.{rank}") < F.col("_to")) & (F.col(f"_b.{rank}") >= F.col("_to") - F.col("_c"))
-        return F.max(F.when(inside, F.col("_v")))
+        return F.max(F.when((F.col("_i") == i) & inside, F.col("_v"))).alias(f"_{rank}{i}")
 
-    ends = ranked.groupBy(*keys, "_f", "_i", F.col("_b.part").alias("_part")).agg(
-        at("low").alias("_lo"), at("high").alias("_hi")
-    )
-    checked = F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), F.raise_error(F.lit("percentile bracket missed")))
-    interpolated = checked.otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part"))
-    return ends.withColumn("_x", interpolated).groupBy(*keys, "_f").agg(
-        *(F.max(F.when(F.col("_i") == i, F.col("_x"))).alias(f"p{i}") for i in range(len(probs)))
-    ).select(*keys, "_f.*", *(f"p{i}" for i in range(len(probs))))
+    parts = [F.max(F.when(F.col("_i") == i, F.col("_b.part"))).alias(f"_part{i}") for i in range(len(probs))]
+    ends = [end(i, rank) for i in range(len(probs)) for rank in ("low", "high")]
+
+    def interpolated(i: int) -> Column:
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        missed = F.when(low.isNull() | high.isNull(), F.raise_error(F.lit("percentile bracket missed")))
+        return missed.otherwise(low + (high - low) * F.col(f"_part{i}")).alias(f"p{i}")
+
+    found = ranked.groupBy(*keys, "_f").agg(*parts, *ends)
+    return found.select(*keys, "_f.*", *(interpolated(i) for i in range(len(probs))))
 
 
 def describe(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:

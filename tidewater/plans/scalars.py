@@ -174,8 +174,8 @@ def row_policy(t):
        WHERE list_contains(w, 'the') AND list_contains(w, 'and')"""
 )
 def token_search(t):
-    words = text.tokens(F.col("source"), F.col("text"))
-    return t.documents.filter(text.has_all_terms(words, ["the", "and"])).select("doc_id")
+    found = text.mentions_all_terms(["the", "and"], F.col("source"), F.col("text"))
+    return t.documents.filter(found).select("doc_id")
 
 
 @query("""SELECT doc_id, regexp_replace(text, '[^\\p{L}\\p{N}_\\s.,?!-]', '', 'g') AS content FROM documents""")
