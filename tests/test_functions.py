@@ -63,6 +63,11 @@ def test_dates(spark):
     assert one(spark, dates.month_back(F.col("d"), 3), d=(datetime.date(2020, 5, 31), "date")) == datetime.date(2020, 2, 1)
 
 
+@pytest.mark.parametrize("raw, want", [("12", 12), (" -7 ", -7), ("+3", 3), ("x", None), ("1x", None), ("1.5", None), ("", None), (None, None), ("99999999999", None)])
+def test_whole_number(spark, raw, want):
+    assert one(spark, values.whole_number(F.col("s"), "int"), s=(raw, "string")) == want
+
+
 def test_values(spark):
     assert one(spark, values.speed_kmh(F.col("m"), F.col("s")), m=(1000.0, "double"), s=(3600.0, "double")) == 1.0
     for seconds in (0.0, -1.0, None):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewater.functions.values import whole_number
+
 
 def whole_years(start: Column, end: Column) -> Column:
     """Completed years; someone born on 29 February completes a year on 1 March."""
@@ -27,7 +29,7 @@ def try_us_date(text: Column) -> Column:
 
 def epoch_seconds(text: Column) -> Column:
     """Unix seconds to a timestamp, null on a bad text."""
-    return F.timestamp_seconds(text.try_cast("bigint"))
+    return F.timestamp_seconds(whole_number(text))
 
 
 def month_back(as_of: Column, months: int) -> Column:

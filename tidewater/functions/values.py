@@ -11,6 +11,15 @@ def line_total(price: Column, quantity: Column) -> Column:
     return (price * quantity).cast("decimal(10,2)")
 
 
+def whole_number(text: Column, kind: str = "bigint") -> Column:
+    """Text to an integer type, null on a bad text.
+
+    Text that does not even begin like a number is told apart first: a failed try_cast
+    raises and catches an exception inside, far dearer than this look.
+    """
+    return F.when(text.rlike(r"^[\x00-\x20]*[+-]?[0-9]"), text.try_cast(kind))
+
+
 def speed_kmh(meters: Column, seconds: Column) -> Column:
     """0.0 where the duration is zero, negative or unknown."""
     return F.when(seconds > 0, (meters / 1000) / (seconds / 3600)).otherwise(0.0)

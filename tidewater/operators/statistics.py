@@ -59,14 +59,13 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
     sketch = present.groupBy(*keys).agg(facts.alias("_f"), F.percentile_approx("_v", points, ACCURACY).alias("_g"))
     n = F.col("_f.n")
 
-    def bracket(i: int, p: float) -> Column:
+    def bracket(p: float) -> Column:
         position = F.lit(float(p)) * (n - 1)
         low = F.floor(position)
         high = F.ceil(position)
         cell = F.floor(low * F.lit(grid) / n).cast("int")
         top = F.ceil(high * F.lit(grid) / n).cast("int")
         return F.struct(
-            F.lit(i).alias("i"),
             low.alias("low"),
             high.alias("high"),
             (position - low).alias("part"),
@@ -74,26 +73,37 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
             F.element_at("_g", F.least(top + 1, F.lit(grid)) + 1).alias("to"),
         )
 
-    brackets = F.array(*(bracket(i, p) for i, p in enumerate(probs)))
+    wanted = sketch.select(*keys, "_f", F.array(*(bracket(p) for p in probs)).alias("_b"))
+    bounds = F.transform("_b", lambda b: F.struct(b["from"].alias("from"), b["to"].alias("to")))
     if keys:
         # a hot key meets its brackets in SALT places
         copies = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
-        wanted = sketch.select(*keys, "_f", brackets.alias("_b")).withColumn("_salt", copies)
+        limits = wanted.select(*keys, bounds.alias("_r")).withColumn("_salt", copies)
         salted = present.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALT)).cast("int"))
-        bracketed = join_null_safe(salted, wanted, [*keys, "_salt"])
+        bracketed = join_null_safe(salted, limits, [*keys, "_salt"])
     else:
-        found = sketch.select(F.struct("_f", brackets.alias("_b"))).scalar()
-        bracketed = present.withColumn("_w", found).select("_v", "_w._f", "_w._b")
-    cells = bracketed.select(
-        *keys, "_f", "_v", F.explode(F.filter("_b", lambda b: F.col("_v") <= b["to"])).alias("_b")
-    ).groupBy(
-        *keys, "_f", "_b", F.when(F.col("_v") >= F.col("_b.from"), F.col("_v")).alias("_v")
-    ).agg(F.count("*").alias("_c"))
+        bracketed = present.withColumn("_r", wanted.select(bounds).scalar())
+
+    def cell(i: int) -> Column:
+        low, high = F.col("_r")[i]["from"], F.col("_r")[i]["to"]
+        value_in = F.struct(F.lit(i).alias("i"), F.when(F.col("_v") >= low, F.col("_v")).alias("v"))
+        return F.when(F.col("_v") <= high, value_in)
+
+    counted = (
+        bracketed.select(*keys, F.explode(F.array(*(cell(i) for i in range(len(probs))))).alias("_cell"))
+        .filter(F.col("_cell").isNotNull())
+        .groupBy(*keys, F.col("_cell.i").alias("_i"), F.col("_cell.v").alias("_v")).agg(F.count("*").alias("_c"))
+    )
+    if keys:
+        cells = join_null_safe(counted, wanted, keys)
+    else:
+        both = wanted.select(F.struct("_f", "_b")).scalar()
+        cells = counted.withColumn("_w", both).select("_i", "_v", "_c", "_w._f", "_w._b")
+    cells = cells.withColumn("_b", F.element_at("_b", F.col("_i") + 1))
     # the null value stands for everything below the bracket; the rest is cut into slices
     width = (F.col("_b.to") - F.col("_b.from")) / F.lit(BRACKET_SLICES)
     slice_no = F.when(F.col("_v").isNull(), -1).when(width > 0, F.floor((F.col("_v") - F.col("_b.from")) / width)).otherwise(0)
-    numbered = cells.withColumns({"_i": F.col("_b.i"), "_cut": slice_no})
-    ranked = running_sum(numbered, "_v", "_c", [*keys, "_i"], F.col("_cut"), "_to")
+    ranked = running_sum(cells, "_v", "_c", [*keys, "_i"], slice_no, "_to")
 
     def end(i: int, rank: str) -> Column:
         inside = (F.col(f"_b.{rank}") < F.col("_to")) & (F.col(f"_b.{rank}") >= F.col("_to") - F.col("_c"))

@@ -57,7 +57,7 @@ def typed_cast(t):
         F.col("k").cast("float").cast("double").alias("k_float"),
         F.col("k").cast("int").alias("k_int"),
         F.col("k").cast("decimal(10,4)").cast("double").alias("k_decimal"),
-        F.col("event_type").try_cast("int").alias("k_lenient"),
+        values.whole_number(F.col("event_type"), "int").alias("k_lenient"),
     )
 
 
