@@ -23,26 +23,16 @@ def rolling_count(df: DataFrame, ts: str, width_us: int, keys: Sequence[str] = (
                   slice_us: int | None = None) -> DataFrame:
     """Rows in ``(t - width, t]`` for every distinct instant t (per key): (keys, us, n, in_window).
 
-    Each row enters the window at t and leaves it at t + width; the window count is the
-    running sum of these steps. That is one pass however many rows share a window, where
-    a RANGE frame would rescan each window, and steps are summed per instant before they
-    are shuffled. ``n`` is the number of rows at the instant; tied rows count each other.
+    ``n`` is the number of rows at the instant; tied rows count each other. Rows are
+    counted per instant before anything else. An instant then enters the window at t and
+    leaves it at t + width, and the window count is the running sum of these steps: one
+    pass however many rows share a window, where a RANGE frame would rescan each window.
     """
     us = micros(ts)
-    steps = (
-        df.filter(F.col(ts).isNotNull())
-        .select(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct(us.alias("us"), F.lit(1).alias("step"), F.lit(1).alias("n")),
-                    F.struct((us + F.lit(width_us)).alias("us"), F.lit(-1).alias("step"), F.lit(0).alias("n")),
-                )
-            ).alias("_s"),
-        )
-        .groupBy(*keys, F.col("_s.us").alias("us"))
-        .agg(F.sum("_s.step").alias("step"), F.sum("_s.n").alias("n"))
-    )
+    instants = df.filter(F.col(ts).isNotNull()).groupBy(*keys, us.alias("us")).agg(F.count("*").alias("n"))
+    enters = F.struct(F.col("us").alias("us"), F.col("n").alias("step"), F.col("n").alias("n"))
+    leaves = F.struct((F.col("us") + F.lit(width_us)).alias("us"), (-F.col("n")).alias("step"), F.lit(0).cast("bigint").alias("n"))
+    steps = instants.select(*keys, F.explode(F.array(enters, leaves)).alias("_s")).select(*keys, "_s.*")
     width = slice_us or min(width_us, SLICE_US)
     counted = running_sum(steps, "us", "step", keys, F.floor(F.col("us") / F.lit(width)), "in_window")
     return counted.filter(F.col("n") > 0).drop("step")

@@ -21,42 +21,48 @@ def slice_of(order: str, width: int = SLICE_WIDTH) -> Column:
     return F.floor(F.col(order) / F.lit(width))
 
 
-def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
-                alias: str = "running") -> DataFrame:
-    """Sum of ``value`` over all rows of the key up to the current one, peers included.
+def _sliced(df: DataFrame, order: str, keys: Sequence[str], part: Column | None) -> tuple[DataFrame, list[str], list[str]]:
+    """The frame with its slice, the columns that name a sequence, and those that name a slice.
 
-    The sum of the earlier slices enters a slice as a row ahead of all others, so rows are
-    shuffled once and joined to nothing.
+    The keys travel as one struct, which compares null keys as equal under plain equality:
+    the join on a slice then reuses the partitioning and order its window has made.
     """
-    sliced = df.withColumn("_slice", slice_of(order) if part is None else part)
-    totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    opening = totals.select(*keys, "_slice", F.sum("_total").over(before).alias("_step"), F.lit(True).alias("_opens"))
-    rows = sliced.withColumns({"_step": F.col(value), "_opens": F.lit(False)})
-    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc("_opens"), order)
-    to_here = F.sum("_step").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    number = F.coalesce((slice_of(order) if part is None else part).cast("bigint"), F.lit(-(2**63)))
+    sequence = ["_key"] if keys else []
+    if keys:
+        df = df.withColumn("_key", F.struct(*keys))
+    return df.withColumn("_slice", number), sequence, [*sequence, "_slice"]
+
+
+def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
+                alias: str = "running") -> DataFrame:
+    """Sum of ``value`` over all rows of the key up to the current one, peers included."""
+    sliced, sequence, piece = _sliced(df, order, keys, part)
+    totals = sliced.groupBy(*piece).agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy(*sequence).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(*piece, F.sum("_total").over(before).alias("_base"))
+    inside = Window.partitionBy(*piece).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
+    rows = sliced.withColumn("_inside", F.sum(value).over(inside))
     return (
-        rows.unionByName(opening.filter("_step IS NOT NULL"), allowMissingColumns=True)
-        .withColumn(alias, to_here).filter(~F.col("_opens")).drop("_slice", "_step", "_opens")
+        rows.join(bases, piece)
+        .withColumn(alias, F.coalesce("_inside", F.lit(0)) + F.coalesce("_base", F.lit(0)))
+        .drop("_key", "_slice", "_inside", "_base")
     )
 
 
 def with_previous(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
                   alias: str = "previous") -> DataFrame:
-    """Adds the preceding value of the sequence as ``struct(value)``; null struct for the first row.
-
-    The last value of the slice before enters a slice as a row ahead of all others.
-    """
-    sliced = df.withColumn("_slice", slice_of(order) if part is None else part)
-    boxed = F.struct(F.col(value).alias("value"))
-    lasts = sliced.groupBy(*keys, "_slice").agg(F.max_by(boxed, F.col(order)).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    opening = lasts.select(*keys, "_slice", F.lag("_last").over(across).alias("_box"), F.lit(True).alias("_opens"))
-    rows = sliced.withColumns({"_box": boxed, "_opens": F.lit(False)})
-    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc("_opens"), order)
+    """Adds the preceding value of the sequence as ``struct(value)``; null struct for the first row."""
+    sliced, sequence, piece = _sliced(df, order, keys, part)
+    lasts = sliced.groupBy(*piece).agg(F.max_by(value, order).alias("value"))
+    across = Window.partitionBy(*sequence).orderBy("_slice")
+    carried = lasts.select(*piece, F.lag(F.struct("value")).over(across).alias("_carried"))
+    inside = Window.partitionBy(*piece).orderBy(order)
+    rows = sliced.withColumn("_before", F.lag(F.struct(F.col(value).alias("value"))).over(inside))
     return (
-        rows.unionByName(opening.filter("_box IS NOT NULL"), allowMissingColumns=True)
-        .withColumn(alias, F.lag("_box").over(inside)).filter(~F.col("_opens")).drop("_slice", "_box", "_opens")
+        rows.join(carried, piece)
+        .withColumn(alias, F.coalesce("_before", "_carried"))
+        .drop("_key", "_slice", "_before", "_carried")
     )
 
 
