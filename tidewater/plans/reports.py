@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.functions.dates import hours_between, whole_years
+from tidewater.functions.dates import hours_between
 from tidewater.functions.text import full_name, proper
+from tidewater.operators import rooms
 from tidewater.operators.joins import children_counted, rollup_to, with_match, without_match
 from tidewater.operators.ranking import first_per_key, top_dense, top_rows
-from tidewater.operators.statistics import more_than_one
 from tidewater.operators.warehouse import row_counts
 from tidewater.registry import query
 
@@ -265,8 +265,20 @@ YEARS_SQL = f"""(date_part('year', DATE '{AS_OF}') - date_part('year', o_orderda
     - CASE WHEN strftime(o_orderdate, '%m-%d') > strftime(DATE '{AS_OF}', '%m-%d') THEN 1 ELSE 0 END)"""
 
 
-def years_old():
-    return whole_years(F.col("o_orderdate"), F.lit(AS_OF).cast("timestamp_ntz"))
+def dorm(t):
+    """Customers as rooms, their orders as students born on the order date."""
+    people = t.orders.select(
+        F.col("o_custkey").alias("room_id"), F.col("o_orderdate").alias("birthday"), F.col("o_orderstatus").alias("sex")
+    )
+    return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), people
+
+
+def as_customers(df):
+    return df.withColumnsRenamed({"id": "c_custkey", "name": "c_name"})
+
+
+def as_of():
+    return F.lit(AS_OF).cast("timestamp_ntz")
 
 
 @query(
@@ -275,10 +287,7 @@ def years_old():
         GROUP BY c_custkey, c_name ORDER BY avg_age, c_custkey LIMIT 5"""
 )
 def min_avg_years(t):
-    aged = rollup_to(t.orders, "o_custkey", {"a": F.avg(years_old())}, t.customer, "c_custkey")
-    return top_rows(
-        aged.select("c_custkey", "c_name", F.round("a", 4).alias("avg_age")), 5, F.col("avg_age"), F.col("c_custkey")
-    )
+    return as_customers(rooms.youngest_rooms(*dorm(t), as_of()))
 
 
 @query(
@@ -287,9 +296,7 @@ def min_avg_years(t):
         GROUP BY c_custkey, c_name ORDER BY age_diff DESC, c_custkey LIMIT 5"""
 )
 def max_year_spread(t):
-    spread = {"age_diff": F.max(years_old()) - F.min(years_old())}
-    aged = rollup_to(t.orders, "o_custkey", spread, t.customer, "c_custkey")
-    return top_rows(aged.select("c_custkey", "c_name", "age_diff"), 5, F.desc("age_diff"), F.col("c_custkey"))
+    return as_customers(rooms.widest_age_gaps(*dorm(t), as_of()))
 
 
 @query(
@@ -297,8 +304,7 @@ def max_year_spread(t):
        GROUP BY c_custkey, c_name HAVING count(DISTINCT o_orderstatus) > 1 ORDER BY c_custkey"""
 )
 def mixed_status(t):
-    mixed = rollup_to(t.orders, "o_custkey", {"mixed": more_than_one("o_orderstatus")}, t.customer, "c_custkey")
-    return mixed.filter("mixed").select("c_custkey", "c_name").orderBy("c_custkey")
+    return as_customers(rooms.mixed_rooms(*dorm(t)))
 
 
 @query(
@@ -479,7 +485,8 @@ def flights_report(t):
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
          SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                       ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS rn FROM lineitem)
-       WHERE rn = 1"""
+       WHERE rn = 1""",
+    name="first_per_key",
 )
 def first_per_key_lines(t):
     first = first_per_key(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import sampling as sp
+from tidewater.operators.superstore import prepare_loads
 from tidewater.registry import query
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -60,3 +61,16 @@ def other_region(t):
     )
     moved = sp.other_choice(F.col("r_name"), REGIONS, "c_custkey")
     return placed.select("c_custkey", "r_name", moved.alias("new_region"))
+
+
+@query()
+def prepared_loads(t):
+    """First and second load of order rows: repeats, renamed customers and moved regions included."""
+    placed = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        t.region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    rows = t.orders.join(placed, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").cast("string").alias("row_id"), F.col("c_name").alias("customer_name"), F.col("r_name").alias("region")
+    )
+    first, second = prepare_loads(rows)
+    return first.withColumn("load", F.lit(1)).unionByName(second.withColumn("load", F.lit(2)))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import trips as tr
 from tidewater.registry import query
+from tidewater.sinks.routing import routed_items
 
 TRIPS_SQL = """(SELECT ts AS date, event_type AS station_dep, CAST(user_id AS VARCHAR) AS station_ret,
     CAST(value AS FLOAT) AS duration, CAST(json_extract_string(props, '$.k') AS FLOAT) AS distance,
@@ -52,3 +53,22 @@ def ret_counts(t):
 )
 def chart_feed(t):
     return tr.chart_feed(tr.daily_metrics(trips(t))).withColumn("AvgTemp", F.round("AvgTemp", 4))
+
+
+@query(
+    """SELECT target, coalesce(nullif(station, ''), 'Unknown') AS station, CAST(sum(n) AS BIGINT) AS n FROM (
+         SELECT 'DeparturesData' AS target, nullif(event_type, 'view') AS station, count(*) AS n FROM events GROUP BY ALL
+         UNION ALL SELECT 'ReturnsData', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY ALL)
+       GROUP BY ALL"""
+)
+def route_target(t):
+    known = trips(t).withColumn("station_dep", F.expr("nullif(station_dep, 'view')"))
+    departures = tr.station_counts(known, "station_dep", "n").select(
+        F.lit("bucket/metrics/departures/part.csv").alias("source_path"), "station_dep", F.lit(None).cast("string").alias("station_ret"), "n"
+    )
+    returns = tr.station_counts(known, "station_ret", "n").select(
+        F.lit("bucket/metrics/returns/part.csv").alias("source_path"), F.lit(None).cast("string").alias("station_dep"), "station_ret", "n"
+    )
+    elsewhere = departures.withColumn("source_path", F.lit("bucket/raw/part.csv"))
+    items = routed_items(departures.unionByName(returns).unionByName(elsewhere))
+    return items.select("target", F.col("item")["StationName"].alias("station"), F.col("item")["n"].cast("bigint").alias("n"))
