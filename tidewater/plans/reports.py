@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.dates import hours_between
 from tidewater.functions.text import full_name, proper
+from tidewater.functions.values import from_units, units
 from tidewater.operators import rooms
 from tidewater.operators.joins import children_counted, rollup_to, with_match, without_match
 from tidewater.operators.ranking import first_per_key, top_dense, top_rows
@@ -19,8 +20,11 @@ from tidewater.registry import query
 AS_OF = "2002-01-01"
 
 
+REVENUE_SQL = "round(sum(CAST(round(l_extendedprice * (1 - l_discount) * 10000) AS BIGINT)) / 10000.0, 4)"
+
+
 def revenue():
-    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return units(F.col("l_extendedprice") * (1 - F.col("l_discount")))
 
 
 @query(
@@ -45,23 +49,23 @@ def top_supp_count(t):
 
 
 @query(
-    """SELECT s_suppkey, s_name, round(sum(l_extendedprice * (1 - l_discount)), 4) AS total_revenue
+    f"""SELECT s_suppkey, s_name, {REVENUE_SQL} AS total_revenue
        FROM supplier JOIN lineitem ON s_suppkey = l_suppkey
        GROUP BY s_suppkey, s_name ORDER BY total_revenue DESC, s_suppkey LIMIT 10"""
 )
 def top_supp_revenue(t):
     summed = rollup_to(t.lineitem, "l_suppkey", {"total_revenue": F.sum(revenue())}, t.supplier, "s_suppkey")
-    rounded = summed.select("s_suppkey", "s_name", F.round("total_revenue", 4).alias("total_revenue"))
+    rounded = summed.select("s_suppkey", "s_name", from_units(F.col("total_revenue")).alias("total_revenue"))
     return top_rows(rounded, 10, F.desc("total_revenue"), F.col("s_suppkey"))
 
 
 def sales_per_type(t):
     per_part = rollup_to(t.lineitem, "l_partkey", {"s": F.sum(revenue())}, t.part, "p_partkey")
-    return per_part.groupBy("p_type").agg(F.round(F.sum("s"), 4).alias("total_sales"))
+    return per_part.groupBy("p_type").agg(from_units(F.sum("s")).alias("total_sales"))
 
 
 @query(
-    """SELECT p_type, round(sum(l_extendedprice * (1 - l_discount)), 4) AS total_sales
+    f"""SELECT p_type, {REVENUE_SQL} AS total_sales
        FROM part JOIN lineitem ON p_partkey = l_partkey
        GROUP BY p_type ORDER BY total_sales DESC, p_type LIMIT 1"""
 )
@@ -70,7 +74,7 @@ def top_type_by_sales(t):
 
 
 @query(
-    """SELECT p_type, round(sum(l_extendedprice * (1 - l_discount)), 4) AS total_sales
+    f"""SELECT p_type, {REVENUE_SQL} AS total_sales
        FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY p_type ORDER BY total_sales DESC, p_type"""
 )
 def sales_by_category(t):
@@ -78,8 +82,8 @@ def sales_by_category(t):
 
 
 @query(
-    """SELECT concat(n_name, ',', r_name) AS store, concat(s_name, ' ', CAST(s_nationkey AS VARCHAR)) AS manager,
-              round(sum(l_extendedprice * (1 - l_discount)), 4) AS total_sales
+    f"""SELECT concat(n_name, ',', r_name) AS store, concat(s_name, ' ', CAST(s_nationkey AS VARCHAR)) AS manager,
+              {REVENUE_SQL} AS total_sales
        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
             JOIN region ON n_regionkey = r_regionkey
        GROUP BY r_name, n_name, s_suppkey, s_name, s_nationkey"""
@@ -92,7 +96,7 @@ def sales_by_store(t):
     return summed.orderBy("r_name", "n_name").select(
         F.concat("n_name", F.lit(","), "r_name").alias("store"),
         full_name(F.col("s_name"), F.col("s_nationkey").cast("string")).alias("manager"),
-        F.round("total_sales", 4).alias("total_sales"),
+        from_units(F.col("total_sales")).alias("total_sales"),
     )
 
 
@@ -228,7 +232,7 @@ def active_sums(t):
 
 
 @query(
-    """SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
+    f"""SELECT r_name, n_name, {REVENUE_SQL} AS revenue
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
             JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
        GROUP BY r_name, n_name"""
@@ -238,7 +242,7 @@ def multiway_revenue(t):
     per_customer = rollup_to(per_order, "o_custkey", {"s2": F.sum("s")}, t.customer, "c_custkey")
     per_nation = rollup_to(per_customer, "c_nationkey", {"s3": F.sum("s2")}, t.nation, "n_nationkey")
     placed = per_nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return placed.groupBy("r_name", "n_name").agg(F.round(F.sum("s3"), 4).alias("revenue"))
+    return placed.groupBy("r_name", "n_name").agg(from_units(F.sum("s3")).alias("revenue"))
 
 
 @query(
