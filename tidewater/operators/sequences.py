@@ -67,14 +67,50 @@ def with_previous(df: DataFrame, order: str, value: str, keys: Sequence[str] = (
 
 
 def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None) -> DataFrame:
-    """Run-length encoding: (keys, run, value, n), runs numbered from 1 in sequence order."""
-    seen = with_previous(df.select(*keys, order, value), order, value, keys, part, "_prev")
-    starts = seen.withColumn(
-        "_start",
-        F.when(F.col("_prev").isNull() | ~F.col("_prev.value").eqNullSafe(F.col(value)), 1).otherwise(0),
+    """Run-length encoding: (keys, run, value, n), runs numbered from 1 in sequence order.
+
+    Runs are formed inside slices. A slice then tells how many it has, and whether and for how
+    long its first one continues the last run before it; from these few rows the runs get their
+    numbers and full lengths. The rows themselves are shuffled once.
+    """
+    sliced, sequence, piece = _sliced(df.select(*keys, order, value), order, keys, part)
+    inside = Window.partitionBy(*piece).orderBy(order)
+    boxed = F.struct(F.col(value).alias("value"))
+    placed = sliced.withColumns(
+        {"_same": F.lag(boxed).over(inside).eqNullSafe(boxed), "_at": F.row_number().over(inside)}
+    )
+    formed = placed.filter(~F.col("_same")).withColumns(
+        {"_inner": F.row_number().over(inside), "_next": F.lead("_at").over(inside)}
+    )
+    # an exchange both uses below share, so that runs, fewer than rows, are formed once
+    formed = formed.select(*piece, value, "_at", "_inner", "_next").repartition(*piece)
+    sizes = sliced.groupBy(*piece).agg(F.count("*").alias("_size"))
+    ends = formed.groupBy(*piece).agg(
+        F.max("_inner").alias("_runs"),
+        F.min("_next").alias("_second"),
+        F.min_by(value, "_inner").alias("_first"),
+        F.max_by(value, "_inner").alias("_last"),
+    ).join(sizes, piece)
+    across = Window.partitionBy(*sequence).orderBy("_slice")
+    earlier = F.lag(F.struct("_last")).over(across)
+    marked = ends.withColumn("_joined", (earlier.isNotNull() & earlier["_last"].eqNullSafe(F.col("_first"))).cast("int"))
+    own = F.sum(F.col("_runs") - F.col("_joined")).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    shifted = marked.select(
+        *piece, "_runs", "_joined", "_size", "_second", (F.coalesce(own, F.lit(0)) - F.col("_joined")).alias("_shift")
+    ).withColumn("run", F.col("_runs") + F.col("_shift"))
+    # what the slices behind add to a run that reaches their edge
+    added = shifted.filter("_joined = 1").groupBy(*sequence, (F.col("_shift") + 1).alias("run")).agg(
+        F.sum(F.coalesce(F.col("_second") - 1, F.col("_size"))).alias("_added")
+    )
+    slices = shifted.join(added, [*sequence, "run"], "left").drop("run", "_second")
+    whole = formed.join(slices, piece).filter((F.col("_inner") > 1) | (F.col("_joined") == 0))
+    reach = F.coalesce(F.col("_next"), F.col("_size") + F.coalesce("_added", F.lit(0)) + 1)
+    return whole.select(
+        *(F.col(f"_key.{k}").alias(k) for k in keys),
+        (F.col("_inner") + F.col("_shift")).alias("run"),
+        value,
+        (reach - F.col("_at")).cast("bigint").alias("n"),
     )
-    numbered = running_sum(starts, order, "_start", keys, part, "run")
-    return numbered.groupBy(*keys, "run").agg(F.min(value).alias(value), F.count("*").alias("n"))
 
 
 def max_after_zero(df: DataFrame, order: str, value: str, part: Column | None = None) -> DataFrame:
