@@ -82,8 +82,7 @@ def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
     formed = placed.filter(~F.col("_same")).withColumns(
         {"_inner": F.row_number().over(inside), "_next": F.lead("_at").over(inside)}
     )
-    # an exchange both uses below share, so that runs, fewer than rows, are formed once
-    formed = formed.select(*piece, value, "_at", "_inner", "_next").repartition(*piece)
+    formed = formed.select(*piece, value, "_at", "_inner", "_next")
     sizes = sliced.groupBy(*piece).agg(F.count("*").alias("_size"))
     ends = formed.groupBy(*piece).agg(
         F.max("_inner").alias("_runs"),
