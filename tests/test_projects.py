@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import census, reviews, rooms, superstore
+from tidewater.operators import census, reviews, rooms, store_sales
 from tidewater.sinks.files import combined_json, export_reports
 
 DAY = datetime.date
@@ -99,11 +99,11 @@ def test_census(spark):
 
 
 def staged(spark, rows):
-    base = dict.fromkeys(superstore.STAGING, "x")
+    base = dict.fromkeys(store_sales.STAGING, "x")
     base |= {"order_date": "1/5/2016", "ship_date": "12/31/2016", "sales": "261.96", "quantity": "2", "discount": "0.2", "profit": "-41.91",
              "postal_code": "42420", "region": "South"}
-    full = [tuple({**base, **r}[c] for c in superstore.STAGING) for r in rows]
-    return spark.createDataFrame(full, ", ".join(f"{c} string" for c in superstore.STAGING))
+    full = [tuple({**base, **r}[c] for c in store_sales.STAGING) for r in rows]
+    return spark.createDataFrame(full, ", ".join(f"{c} string" for c in store_sales.STAGING))
 
 
 def test_two_store_loads(spark, tmp_path):
@@ -113,7 +113,7 @@ def test_two_store_loads(spark, tmp_path):
         {"row_id": "2", "customer_id": "c2", "customer_name": "Bo", "product_id": "p2", "city": "y"},
         {"row_id": "3", "customer_id": "c1", "customer_name": "Ann", "product_id": "p1", "postal_code": None},
     ])
-    core = superstore.load(superstore.empty_core(spark), first, at)
+    core = store_sales.load(store_sales.empty_core(spark), first, at)
     assert core["dim_locations"].count() == 3 and core["dim_products"].count() == 2 and core["dim_customers"].count() == 2
     facts = core["fct_orders"].collect()
     # the row without postal code finds no location
@@ -124,21 +124,21 @@ def test_two_store_loads(spark, tmp_path):
         {"row_id": "2", "customer_id": "c2", "customer_name": "Bo", "product_id": "p2", "city": "y", "region": "West"},
         {"row_id": "9", "customer_id": "c9", "customer_name": "New", "product_id": "p9"},
     ])
-    after = superstore.load(core, second, at, by_state=False)
+    after = store_sales.load(core, second, at, by_state=False)
     names = {r.customer_id: (r.customer_sk, r.customer_name) for r in after["dim_customers"].collect()}
     assert names["c1"][1] == "Ann (Updated)" and names["c9"][0] == 3
     assert after["dim_locations"].count() == 3
     assert sorted(r.source_row_id for r in after["fct_orders"].collect()) == ["1", "2", "9"]
-    again = superstore.load(after, second, at, by_state=False)
+    again = store_sales.load(after, second, at, by_state=False)
     assert {n: df.count() for n, df in again.items()} == {n: df.count() for n, df in after.items()}
-    star = superstore.mart(after)
+    star = store_sales.mart(after)
     assert star["fact_sales"].count() == 3 and "valid_from" not in star["dim_customers"].columns
     assert star["dim_calendar"].count() == 4383
 
 
 def test_prepared_loads(spark):
     rows = staged(spark, [{"row_id": str(i), "customer_name": f"n{i}"} for i in range(1000)])
-    initial, second = superstore.prepare_loads(rows)
+    initial, second = store_sales.prepare_loads(rows)
     n_first, n_second = initial.count(), second.count()
     assert 750 < n_first < 850
     assert second.filter(F.col("customer_name").endswith("(Updated)")).count() == 20

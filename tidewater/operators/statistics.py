@@ -12,7 +12,6 @@ from tidewater.operators.sequences import running_sum
 
 GRID = 1024
 ACCURACY = 20000
-SALT = 16
 BRACKET_SLICES = 256
 
 
@@ -76,11 +75,9 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
     wanted = sketch.select(*keys, "_f", F.array(*(bracket(p) for p in probs)).alias("_b"))
     bounds = F.transform("_b", lambda b: F.struct(b["from"].alias("from"), b["to"].alias("to")))
     if keys:
-        # a hot key meets its brackets in SALT places
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
-        limits = wanted.select(*keys, bounds.alias("_r")).withColumn("_salt", copies)
-        salted = present.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALT)).cast("int"))
-        bracketed = join_null_safe(salted, limits, [*keys, "_salt"])
+        # one row per key: broadcast while small; else a hot key is split as a skewed join,
+        # which the exchange of the next aggregation allows
+        bracketed = join_null_safe(present, wanted.select(*keys, bounds.alias("_r")), keys)
     else:
         bracketed = present.withColumn("_r", wanted.select(bounds).scalar())
 

@@ -455,13 +455,14 @@ def nicer_names(t):
 
 
 @query(
-    """SELECT r_name, string_agg(DISTINCT n_name, ', ' ORDER BY n_name) AS nations
-       FROM region LEFT JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name"""
+    """SELECT n_name, string_agg(DISTINCT c_mktsegment, ', ' ORDER BY c_mktsegment) AS segments
+       FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name"""
 )
 def string_agg(t):
-    nations = t.region.join(t.nation, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    return nations.groupBy("r_name").agg(
-        F.expr("listagg(DISTINCT n_name, ', ') WITHIN GROUP (ORDER BY n_name)").alias("nations")
+    segments = t.customer.select("c_nationkey", "c_mktsegment").distinct()
+    known = t.nation.join(segments, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return known.groupBy("n_name").agg(
+        F.expr("listagg(DISTINCT c_mktsegment, ', ') WITHIN GROUP (ORDER BY c_mktsegment)").alias("segments")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import sampling as sp
-from tidewater.operators.superstore import prepare_loads
+from tidewater.operators.store_sales import prepare_loads
 from tidewater.registry import query
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")

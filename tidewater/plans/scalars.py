@@ -157,12 +157,12 @@ def validate_split(t):
 
 
 @query(
-    """SELECT 'ACCOUNTADMIN' AS role, CAST(count(*) AS BIGINT) AS visible FROM nation
-       UNION ALL SELECT 'ANALYST', CAST(count(*) FILTER (false) AS BIGINT) FROM nation"""
+    """SELECT 'ACCOUNTADMIN' AS role, CAST(count(*) AS BIGINT) AS visible FROM customer
+       UNION ALL SELECT 'ANALYST', CAST(count(*) FILTER (false) AS BIGINT) FROM customer"""
 )
 def row_policy(t):
     def seen(role):
-        rows = t.nation.filter(va.visible_to(role, ["ACCOUNTADMIN"]))
+        rows = t.customer.filter(va.visible_to(role, ["ACCOUNTADMIN"]))
         return rows.agg(F.lit(role).alias("role"), F.count("*").alias("visible"))
 
     return seen("ACCOUNTADMIN").unionAll(seen("ANALYST"))

@@ -33,10 +33,12 @@ def get_session(app: str = "tidewater", master: str | None = None, **conf) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a temporary folder set.
+    Only a local session that names none (as in tests) gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="tidewater-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
