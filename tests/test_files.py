@@ -157,10 +157,43 @@ def test_combined_document(spark, tmp_path):
     report = spark.createDataFrame([(1, None)], "id int, age double")
     out.combined_json({"a": report, "b": report.limit(0)}, str(tmp_path / "doc"))
     assert json.loads("".join(lines(tmp_path / "doc", ".txt"))) == {"a": [{"id": 1, "age": None}], "b": []}
+    ordered = spark.range(3000).repartition(7).orderBy(F.desc("id"))
+    out.combined_json({"a": ordered}, str(tmp_path / "ordered"))
+    document = json.loads("".join(lines(tmp_path / "ordered", ".txt")))
+    assert [r["id"] for r in document["a"]] == list(range(2999, -1, -1))
     with pytest.raises(ValueError):
         out.combined_json({"a": spark.range(5)}, str(tmp_path / "no"), max_rows=4)
 
 
+def test_combined_xml_has_the_report_shape(spark, tmp_path):
+    gaps = spark.createDataFrame([(213, "Room #213", 115), (83, "Room <83>", 115)], "id int, name string, age_diff int")
+    out.combined_xml({"rooms_max_age_diff": gaps, "rooms_mixed_gender": gaps.select("id")}, str(tmp_path / "x"))
+    root = ET.fromstring("\n".join(lines(tmp_path / "x", ".txt")))
+    assert root.tag == "student_analysis" and [e.tag for e in root] == ["rooms_max_age_diff", "rooms_mixed_gender"]
+    items = root.find("rooms_max_age_diff").findall("item")
+    assert [{c.tag: c.text for c in i} for i in items] == [
+        {"id": "213", "name": "Room #213", "age_diff": "115"}, {"id": "83", "name": "Room <83>", "age_diff": "115"},
+    ]
+    with pytest.raises(ValueError):
+        out.combined_xml({"a": spark.range(5)}, str(tmp_path / "no"), max_rows=4)
+
+
+def test_shared_folder_is_the_sessions(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tidewater.session import shared_folder
+
+    def session(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        conf = SimpleNamespace(get=lambda *_: folder, set=lambda *_: None)
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    assert shared_folder(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(ValueError):
+        shared_folder(session("yarn", None))
+    assert "tidewater-" in shared_folder(session("local[2]", None))
+
+
 def test_csv_and_monthly_split(spark, tmp_path):
     rows = spark.createDataFrame([("2020-05-01 10:00", 1), ("2020-05-31 23:59", 2), ("2020-06-01 00:00", 3)], "`Departure time` string, data int")
     out.split_by_month(rows, F.to_timestamp("Departure time"), str(tmp_path / "months"))

@@ -40,20 +40,36 @@ def export_reports(reports: Mapping[str, DataFrame], path: str, kind: str) -> No
         write(df, path, name)
 
 
-def combined_json(reports: Mapping[str, DataFrame], path: str, max_rows: int = COMBINED_ROWS) -> None:
-    """All reports as one document ``{report: [rows]}``, for reports that fit one cell.
-
-    Larger reports are refused, not cut; write those with ``export_reports``.
-    """
-    spark = next(iter(reports.values())).sparkSession
-    cells = []
+def _report_cells(reports: Mapping[str, DataFrame], max_rows: int) -> dict[str, Column]:
+    """Each report as one array of rows, after a check that it fits; larger reports are refused, not cut."""
+    cells = {}
     for name, df in reports.items():
         if df.limit(max_rows + 1).count() > max_rows:
             raise ValueError(f"report {name!r} has more than {max_rows} rows; export it on its own")
-        plain = decimals_to_double(df)
-        cells.append(plain.agg(F.collect_list(F.struct(*plain.columns))).scalar().alias(name))
-    document = spark.range(1).select(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias("value"))
-    document.coalesce(1).write.mode("overwrite").text(path)
+        # the limit cuts nothing; over a sort it yields one sorted partition, which keeps the order
+        plain = decimals_to_double(df).limit(max_rows)
+        cells[name] = plain.agg(F.collect_list(F.struct(*plain.columns))).scalar()
+    return cells
+
+
+def _write_document(reports: Mapping[str, DataFrame], document: Column, path: str) -> None:
+    spark = next(iter(reports.values())).sparkSession
+    spark.range(1).select(document.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def combined_json(reports: Mapping[str, DataFrame], path: str, max_rows: int = COMBINED_ROWS) -> None:
+    """Small reports as one document ``{report: [rows]}``; write larger ones with ``export_reports``."""
+    cells = _report_cells(reports, max_rows)
+    fields = F.struct(*(cell.alias(name) for name, cell in cells.items()))
+    _write_document(reports, F.to_json(fields, {"ignoreNullFields": "false"}), path)
+
+
+def combined_xml(reports: Mapping[str, DataFrame], path: str, root: str = "student_analysis",
+                 max_rows: int = COMBINED_ROWS) -> None:
+    """Small reports as one document: the root holds an element per report, with an ``item`` per row."""
+    cells = _report_cells(reports, max_rows)
+    fields = F.struct(*(F.struct(cell.alias("item")).alias(name) for name, cell in cells.items()))
+    _write_document(reports, F.to_xml(fields, {"rowTag": root}), path)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
