@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tidewater.operators.ranking import join_null_safe
 from tidewater.operators.sequences import running_sum
 
-GRID = 1024
-ACCURACY = 20000
+GRID = 256
+ACCURACY = 10000
 BRACKET_SLICES = 256
 
 
@@ -52,7 +52,7 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
     exact order statistics are read. A bracket that misses its rank raises an error.
     ``also`` are further aggregates of the non-null ``value`` to take in the first pass.
     """
-    points = F.array(*(F.lit(i / grid) for i in range(grid + 1)))
+    points = F.expr(f"array({', '.join(f'{i / grid}D' for i in range(grid + 1))})")
     present = df.filter(F.col(value).isNotNull()).select(*keys, value, F.col(value).cast("double").alias("_v"))
     facts = F.struct(F.count("*").alias("n"), *also)
     sketch = present.groupBy(*keys).agg(facts.alias("_f"), F.percentile_approx("_v", points, ACCURACY).alias("_g"))
