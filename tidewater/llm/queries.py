@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, mixing, quality_rules
+from tidewater.llm import exact_dedup, minhash_dedup, mixing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near duplicates of each document."""
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(quality_rules.SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts and the verdict on each document; strata are the languages."""
