@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, minhash_dedup, mixing, quality_rules
+from tidewater.llm import exact_dedup, minhash_dedup, mixing, quality_rules, sentencepiece_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: Where the vocabulary files lie, and the model the corpus is coded with.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+PIECES = "piece_bpe_32k.model"
+
 
 def query(sql: str | None = None):
     def register(plan):
@@ -32,6 +37,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of each document's text, and the text decoded from them."""
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{PIECES}")
+
+
 @query(quality_rules.SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts and the verdict on each document; strata are the languages."""
