@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, minhash_dedup, mixing, quality_rules, sentencepiece_codec
+from tidewater.llm import exact_dedup, license_scan, minhash_dedup, mixing, quality_rules, sentencepiece_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses each document names."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of each document's text, and the text decoded from them."""
