@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, license_scan, minhash_dedup, mixing, quality_rules, sentencepiece_codec
+from tidewater.llm import exact_dedup, html_extraction, license_scan, minhash_dedup, mixing, quality_rules, sentencepiece_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *counts)
 
 
+@query()
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @query(exact_dedup.SQL)
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for each document's text, letter case of A-Z aside."""
