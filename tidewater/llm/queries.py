@@ -7,7 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, html_extraction, license_scan, minhash_dedup, mixing, quality_rules, sentencepiece_codec
+from tidewater.llm import (
+    exact_dedup,
+    html_extraction,
+    license_scan,
+    minhash_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_codec,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +46,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of each document, learnt from the labels."""
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licenses each document names."""
