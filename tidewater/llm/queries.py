@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import (
+    chat_snapshots,
     exact_dedup,
     html_extraction,
     license_scan,
@@ -78,6 +79,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+@query(chat_snapshots.SQL)
+def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered conversations that no longer one begins with."""
+    return chat_snapshots.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query(exact_dedup.SQL)
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for each document's text, letter case of A-Z aside."""
