@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, then exact dedup, then mixing, each on what the last one kept."""
+"""The corpus pipeline: rules, two dedups, mixing and encoding, each on what the last one kept."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tidewater.llm import exact_dedup, mixing, quality_rules  # noqa: E402
+from tidewater.llm import exact_dedup, minhash_dedup, mixing, quality_rules, sentencepiece_codec  # noqa: E402
 from tidewater.llm.common import keep  # noqa: E402
-from tidewater.llm.queries import table  # noqa: E402
+from tidewater.llm.queries import PIECES, TOKENIZERS, table  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,13 +24,24 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest id."""
+    return minhash_dedup.without_near_copies(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed(docs)
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of each document, as often as the mix took it."""
+    return sentencepiece_codec.encode(docs, f"{TOKENIZERS}/{PIECES}")
+
+
+STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("minhash_dedup", near), ("mixing", mix), ("sentencepiece", encode)]
 
+#: Near duplicates and pieces are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
