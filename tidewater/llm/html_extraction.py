@@ -164,20 +164,20 @@ def walk(root: Node, out: set[int] | None = None) -> Iterator[tuple[Node, Node |
 def paragraphs(root: Node, out: set[int] | None = None) -> Iterator[tuple[Node, str, int]]:
     """The blocks of text in page order: (the element of the first text, the text, characters in links)."""
     texts: list[str] = []
-    owner, linked = root, 0
+    owner, linked, begun = root, 0, False
     for node, what, in_link in walk(root, out):
         if isinstance(what, str):
             if node.name == "br" and not what:
                 texts.append(" ")
             elif what:
-                if not texts or not "".join(texts).strip():
-                    owner = node
+                if not begun and what.strip():
+                    owner, begun = node, True
                 texts.append(what)
                 linked += len(what.strip()) if in_link else 0
         elif node.name not in INLINE:
             if text := " ".join("".join(texts).split()):
                 yield owner, text, linked
-            texts, linked = [], 0
+            texts, linked, begun = [], 0, False
     if text := " ".join("".join(texts).split()):
         yield owner, text, linked
 

@@ -67,6 +67,8 @@ def hashes(data: np.ndarray, length: int, at: np.ndarray) -> np.ndarray:
 
 def _slices(values: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """The parts of a sorted array by the leading bits of its values."""
+    if not len(values):
+        return
     buckets = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
     starts = np.flatnonzero(np.diff(buckets, prepend=-1))
     for i, j in zip(starts, [*starts[1:], len(values)], strict=True):
