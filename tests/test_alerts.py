@@ -102,7 +102,7 @@ def test_alert_stream_equals_the_batch_rules(spark, tmp_path):
         os.utime(tmp_path / "in" / f"{i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
     write_log(tmp_path / "in" / "ignored.txt", [(0, "Fatal", "x")] * 50)
     rules = [SpikeRule(limit=8), KeySpikeRule(limit=120)]
-    stream = logs.clean_log(logs.log_stream(spark, str(tmp_path / "in"), files_per_batch=1))
+    stream = logs.log_stream(spark, str(tmp_path / "in"), files_per_batch=1)
     alerting = logs.AlertStream(str(tmp_path / "out"), rules)
     query = alerting.start(stream, str(tmp_path / "cp"))
     assert query.awaitTermination(120)
@@ -112,8 +112,9 @@ def test_alert_stream_equals_the_batch_rules(spark, tmp_path):
     want = as_rows(found)
     assert len(want) > 10
     assert as_rows(alerting.alerts(spark)) == want
-    totals = logs.observed_totals(query)
+    totals = alerting.counters(spark)
     assert totals["rows_dropped_invalid_date"] == 3 and totals["rows_total"] == len(rows) + 3
+    assert totals["files_processed"] == 3 and totals["rule_errors"] == 0 and totals["alerts_raised"] >= len(want)
 
 
 def test_alert_stream_repeats_a_batch_without_harm(spark, tmp_path):
@@ -131,6 +132,46 @@ def test_late_events_within_the_allowance_count(spark, tmp_path):
     assert [r.n for r in alerting.alerts(spark).collect()] == [11]
 
 
+def test_a_wrong_time_stamp_loses_no_alert(spark, tmp_path):
+    """Ahead of the clock, and within a replay of older logs."""
+    for name, ahead in (("future", 400 * 365 * 86400), ("replay", 86400)):
+        alerting = logs.AlertStream(str(tmp_path / name), [SpikeRule()])
+        alerting.process(events(spark, [*range(8), ahead]), 0)
+        alerting.process(events(spark, range(20, 25)), 1)
+        assert [r.n for r in alerting.alerts(spark).collect()] == [13]
+
+
+def test_the_tail_stays_short(spark, tmp_path):
+    alerting = logs.AlertStream(str(tmp_path / "out"), [SpikeRule()], patience=2)
+    for batch in range(5):
+        alerting.process(events(spark, [batch * 1000]), batch)
+    assert spark.read.parquet(str(tmp_path / "out/tail/0")).count() == 2
+    assert sorted(p.name for p in (tmp_path / "out/tail").iterdir()) == ["0", "1"]
+
+
+class FailsInATask(SpikeRule):
+    def alerts(self, events):
+        return super().alerts(events).withColumn("n", F.raise_error(F.lit("boom")).cast("bigint"))
+
+
+def test_rules_fail_alone_and_see_their_own_columns(spark, tmp_path):
+    rules = [FailsInATask(name="8"), SpikeRule(), KeySpikeRule(severity="low", severity_col="level", key="host", name="7")]
+    rows = events(spark, range(11)).withColumn("level", F.lit(None).cast("string")).withColumn("host", F.lit("h"))
+    low = events(spark, range(11), "Info").withColumn("level", F.lit("low")).withColumn("host", F.lit("h"))
+    alerting = logs.AlertStream(str(tmp_path / "out"), rules)
+    assert list(alerting.process(rows.union(low), 0)) == ["8"]
+    assert sorted((r.rule, r.n) for r in alerting.alerts(spark).collect()) == [("2.1", 11), ("7", 11)]
+    assert alerting.counters(spark)["rule_errors"] == 1
+
+
+def test_totals_of_many_batches(spark, tmp_path):
+    alerting = logs.AlertStream(str(tmp_path / "out"), [SpikeRule()])
+    for batch in range(150):
+        counted = spark.range(1).select(F.lit(2).alias("rows_total"), F.lit(1).alias("alerts_raised"))
+        counted.write.json(str(tmp_path / f"out/counters/batch={batch}"))
+    assert alerting.counters(spark) == {"alerts_raised": 150, "rows_total": 300}
+
+
 def test_missing_columns_are_refused(spark):
     with pytest.raises(ValueError, match="bundle_id"):
         logs.clean_log(spark.createDataFrame([], "date string, severity string"))

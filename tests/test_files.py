@@ -161,8 +161,10 @@ def test_combined_document(spark, tmp_path):
     out.combined_json({"a": ordered}, str(tmp_path / "ordered"))
     document = json.loads("".join(lines(tmp_path / "ordered", ".txt")))
     assert [r["id"] for r in document["a"]] == list(range(2999, -1, -1))
-    with pytest.raises(ValueError):
-        out.combined_json({"a": spark.range(5)}, str(tmp_path / "no"), max_rows=4)
+    many = spark.range(0, 150_000, 1, 5)
+    out.combined_json({"none": many.limit(0), "all": many, "again": report}, str(tmp_path / "many"))
+    document = json.loads("".join(lines(tmp_path / "many", ".txt")))
+    assert [r["id"] for r in document["all"]] == list(range(150_000)) and document["none"] == [] and len(document["again"]) == 1
 
 
 def test_combined_xml_has_the_report_shape(spark, tmp_path):
@@ -174,8 +176,8 @@ def test_combined_xml_has_the_report_shape(spark, tmp_path):
     assert [{c.tag: c.text for c in i} for i in items] == [
         {"id": "213", "name": "Room #213", "age_diff": "115"}, {"id": "83", "name": "Room <83>", "age_diff": "115"},
     ]
-    with pytest.raises(ValueError):
-        out.combined_xml({"a": spark.range(5)}, str(tmp_path / "no"), max_rows=4)
+    out.combined_xml({"a": spark.range(0, 120_000, 1, 3)}, str(tmp_path / "many"))
+    assert len(ET.fromstring("\n".join(lines(tmp_path / "many", ".txt"))).find("a")) == 120_000
 
 
 def test_shared_folder_is_the_sessions(spark, monkeypatch):
@@ -222,3 +224,20 @@ def test_documents(spark, tmp_path):
 
     out.insert_documents(spark.range(25).coalesce(1), insert_many, batch=10)
     assert sorted(len(f.read_text().splitlines()) for f in folder.iterdir()) == [5, 10, 10]
+
+
+def test_log_records(spark, tmp_path):
+    """Long quoted fields, line breaks and commas in quotes, long and short records, blank lines."""
+    width = len(src.LOG_COLUMNS)
+    long = "x" * 100_000 + '""' + "y,\n" * 1000
+    records = [
+        ["1", f'"{long}"', "Fatal", *[""] * (width - 4), "10"], ["2", '"a\nb, ""c"""', "Error", *[""] * (width - 4), "20"],
+        ["3", "short"], ["4", *["z"] * width], ["5", *[""] * width], [" "], [""],
+    ]
+    (tmp_path / "log.csv").write_text("".join(",".join(r) + "\n" for r in records))
+    rows = src.read_log(spark, str(tmp_path / "log.csv")).collect()
+    assert [r.error_code for r in rows] == ["1", "2", "3"]
+    assert rows[0].error_message == long.replace('""', '"') and rows[0].date == "10"
+    assert rows[1].error_message == 'a\nb, "c"' and rows[2].severity is None
+    line = spark.createDataFrame([(f'1,"{"x" * 100_000}","a ""b"", c",' + "," * (width - 4) + "9",)], "value string")
+    assert src.parse_log(line).first().date == "9" and src.overlong_log_lines(line).count() == 0

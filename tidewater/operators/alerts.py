@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.rolling import HOUR_US, MINUTE_US, rolling_count
 
+# The texts of the alerts in ``SpikeRule`` and ``KeySpikeRule`` are read by others.
 # One alert: rule, key (null for a global rule), minute, number of events, message
 ALERT_COLUMNS = ("rule", "key", "ts", "n", "message")
 
@@ -92,3 +93,20 @@ def apply_rules(events: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame | N
         except Exception as error:  # each rule stands alone
             errors[rule.name] = str(error)
     return (reduce(DataFrame.unionByName, found) if found else None), errors
+
+
+def write_alerts(events: DataFrame, rules: Sequence[Rule], path: str) -> tuple[int, dict[str, str]]:
+    """Writes each rule's alerts to a folder of its own below ``path``: their number, and errors by rule.
+
+    A rule that fails while it runs leaves the others' alerts as they are, and none of its own.
+    """
+    spark, n, errors = events.sparkSession, 0, {}
+    for number, rule in enumerate(rules):
+        folder = f"{path}/by={number}"
+        try:
+            rule.alerts(events).select(*ALERT_COLUMNS).write.mode("overwrite").parquet(folder)
+        except Exception as error:  # each rule stands alone
+            errors[rule.name] = str(error)
+        else:
+            n += spark.read.parquet(folder).count()
+    return n, errors

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import month_label
 from tidewater.operators.validation import decimals_to_double
-
-COMBINED_ROWS = 100_000
+from tidewater.session import shared_folder
 
 
 def write_json(df: DataFrame, path: str, name: str) -> None:
@@ -40,36 +41,71 @@ def export_reports(reports: Mapping[str, DataFrame], path: str, kind: str) -> No
         write(df, path, name)
 
 
-def _report_cells(reports: Mapping[str, DataFrame], max_rows: int) -> dict[str, Column]:
-    """Each report as one array of rows, after a check that it fits; larger reports are refused, not cut."""
-    cells = {}
-    for name, df in reports.items():
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"report {name!r} has more than {max_rows} rows; export it on its own")
-        # the limit cuts nothing; over a sort it yields one sorted partition, which keeps the order
-        plain = decimals_to_double(df).limit(max_rows)
-        cells[name] = plain.agg(F.collect_list(F.struct(*plain.columns))).scalar()
-    return cells
-
+def _copy(spark: SparkSession, pieces: Sequence[str | list[str]], target: str) -> None:
+    """Joins texts and files, in order, to one file of the target folder's file system, some KB at a time.
 
-def _write_document(reports: Mapping[str, DataFrame], document: Column, path: str) -> None:
+    Of files that follow each other, the first character is left out: it separates what comes before.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    path = hadoop.fs.Path(target)
+    system = path.getFileSystem(conf)
+    system.delete(path.getParent(), True)
+    out = system.create(path, True)
+    try:
+        for piece in pieces:
+            if isinstance(piece, str):
+                out.write(bytearray(piece.encode()))
+                continue
+            for number, name in enumerate(piece):
+                source = system.open(hadoop.fs.Path(name))
+                try:
+                    if number == 0:
+                        source.skip(1)
+                    hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+                finally:
+                    source.close()
+    finally:
+        out.close()
+
+
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    """The files of a written folder that are not empty, in the order of the rows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(f.getPath().toString() for f in found if f.getPath().getName().startswith("part-") and f.getLen())
+
+
+def _combined(reports: Mapping[str, DataFrame], path: str, row: Callable[[DataFrame], Column], around: Callable[[str], tuple[str, str]],
+              ends: tuple[str, str], between: str) -> None:
+    """One document of all reports. Rows are written by Spark as parts, which are then joined to a file."""
     spark = next(iter(reports.values())).sparkSession
-    spark.range(1).select(document.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    staging = f"{shared_folder(spark)}/combined-{uuid.uuid4().hex}"
+    pieces: list[str | list[str]] = [ends[0]]
+    for number, (name, df) in enumerate(reports.items()):
+        plain = decimals_to_double(df)
+        lines = plain.select(F.concat(F.lit(between or "\n"), row(plain)).alias("value"))
+        lines.write.option("lineSep", "\n" if between else " ").text(f"{staging}/{number}")
+        opened, closed = around(name)
+        pieces += [("," if number and between else "") + opened, _parts(spark, f"{staging}/{number}"), closed]
+    _copy(spark, [*pieces, ends[1]], f"{path}/part-00000.txt")
+    root = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def combined_json(reports: Mapping[str, DataFrame], path: str) -> None:
+    """Reports as one document ``{report: [rows]}`` in one file; rows keep the order of their frame."""
+    def row(df: DataFrame) -> Column:
+        return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
 
+    _combined(reports, path, row, lambda name: (f"{json.dumps(name, ensure_ascii=False)}:[", "]"), ("{", "}"), ",")
 
-def combined_json(reports: Mapping[str, DataFrame], path: str, max_rows: int = COMBINED_ROWS) -> None:
-    """Small reports as one document ``{report: [rows]}``; write larger ones with ``export_reports``."""
-    cells = _report_cells(reports, max_rows)
-    fields = F.struct(*(cell.alias(name) for name, cell in cells.items()))
-    _write_document(reports, F.to_json(fields, {"ignoreNullFields": "false"}), path)
 
+def combined_xml(reports: Mapping[str, DataFrame], path: str, root: str = "student_analysis") -> None:
+    """Reports as one document in one file: the root holds an element per report, with an ``item`` per row."""
+    def row(df: DataFrame) -> Column:
+        return F.to_xml(F.struct(*df.columns), {"rowTag": "item"})
 
-def combined_xml(reports: Mapping[str, DataFrame], path: str, root: str = "student_analysis",
-                 max_rows: int = COMBINED_ROWS) -> None:
-    """Small reports as one document: the root holds an element per report, with an ``item`` per row."""
-    cells = _report_cells(reports, max_rows)
-    fields = F.struct(*(F.struct(cell.alias("item")).alias(name) for name, cell in cells.items()))
-    _write_document(reports, F.to_xml(fields, {"rowTag": root}), path)
+    _combined(reports, path, row, lambda name: (f"<{name}>\n", f"</{name}>\n"), (f"<{root}>\n", f"</{root}>\n"), "")
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

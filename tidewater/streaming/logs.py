@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.dates import epoch_seconds
-from tidewater.operators.alerts import ALERT_COLUMNS, KeySpikeRule, Rule, SpikeRule, apply_rules
+from tidewater.operators.alerts import ALERT_COLUMNS, KeySpikeRule, Rule, SpikeRule, write_alerts
 from tidewater.operators.rolling import micros
 from tidewater.operators.validation import require_columns
-from tidewater.sources.files import parse_log
+from tidewater.sources.files import LOG_OPTIONS, LOG_SCHEMA, fitting_records
 
 REQUIRED = ("severity", "date", "bundle_id")
 LOGGER = logging.getLogger(__name__)
@@ -23,16 +24,19 @@ LOGGER = logging.getLogger(__name__)
 
 def log_stream(spark: SparkSession, folder: str, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
     """New ``.csv`` files of a folder, each read once; with ``archive``, moved there when done."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", "*.csv")
+    reader = spark.readStream.schema(LOG_SCHEMA).options(**LOG_OPTIONS).option("pathGlobFilter", "*.csv")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return parse_log(reader.load(folder))
+    return fitting_records(reader.csv(folder))
 
 
 def clean_log(rows: DataFrame, metrics: str | None = "log_quality") -> DataFrame:
-    """Parses the Unix-seconds ``date`` and drops rows without one; counts both as observed metrics."""
+    """Parses the Unix-seconds ``date`` and drops rows without one; counts both as observed metrics.
+
+    Spark reports such metrics batch by batch and keeps the last reports only; ``AlertStream`` keeps totals.
+    """
     require_columns(rows, REQUIRED)
     parsed = rows.withColumn("date", epoch_seconds(F.col("date")))
     if metrics:
@@ -44,58 +48,77 @@ def clean_log(rows: DataFrame, metrics: str | None = "log_quality") -> DataFrame
     return parsed.filter(F.col("date").isNotNull())
 
 
-def observed_totals(query: StreamingQuery, metrics: str = "log_quality") -> dict[str, int]:
-    """Sums of the observed metrics over the progress reports the query still holds."""
-    totals: Counter[str] = Counter()
-    for progress in query.recentProgress:
-        row = progress["observedMetrics"].get(metrics)
-        if row is not None:
-            values = row.asDict() if hasattr(row, "asDict") else dict(row)
-            totals.update({k: int(v) for k, v in values.items()})
-    return dict(totals)
-
-
 class AlertStream:
     """Exact alert rules over a stream, whatever way the files cut the events.
 
-    Each micro-batch is checked together with the tail of events still inside a window:
-    those younger than the widest window plus the allowed lateness. Tail and alerts are
-    written per batch under ``base`` (a shared folder), so a repeated batch overwrites its
-    own output. A count seen in an early batch can only grow, so the largest is the exact one.
+    Each micro-batch is checked together with the tail: events that are younger than the widest
+    window plus the allowed lateness, counted back from the newest event that is not ahead of the
+    clock, and all events of the last ``patience`` batches. So a wrong time stamp in the future moves
+    nothing, and one among older logs that are replayed can't push out what has just arrived.
+
+    Tail, alerts and counters are written per batch under ``base`` (a shared folder); a repeated
+    batch overwrites its own output. A count seen in an early batch can only grow, so the largest is
+    the exact one. Tails take turns in two folders.
     """
 
-    def __init__(self, base: str, rules: Sequence[Rule] = (SpikeRule(), KeySpikeRule()), lateness_us: int = 0):
+    def __init__(
+        self, base: str, rules: Sequence[Rule] = (SpikeRule(), KeySpikeRule()), lateness_us: int = 0, patience: int = 100
+    ):
         self.base = base
         self.rules = list(rules)
         self.horizon_us = max(r.width_us for r in self.rules) + lateness_us
+        self.patience = patience
         self.columns = sorted({c for r in self.rules for c in (r.ts, r.severity_col, getattr(r, "key", r.ts))})
-        self.severities = sorted({r.severity for r in self.rules})
+        self.wanted = reduce(or_, (F.col(r.severity_col) == r.severity for r in self.rules))
+        self.times = sorted({r.ts for r in self.rules})
 
-    def process(self, batch: DataFrame, batch_id: int) -> dict[str, str]:
+    def process(self, batch: DataFrame, batch_id: int, counts: dict[str, int] | None = None) -> dict[str, str]:
         """One micro-batch; returns the errors of rules that could not be applied."""
         spark = batch.sparkSession
-        first = self.rules[0]
-        fresh = batch.select(*self.columns).filter(F.col(first.severity_col).isin(self.severities))
-        tail = read_if_present(spark, f"{self.base}/tail/batch={batch_id - 1}")
+        fresh = batch.select(*self.columns).filter(self.wanted).withColumn("_batch", F.lit(batch_id))
+        tail = read_if_present(spark, f"{self.base}/tail/{(batch_id - 1) % 2}") if batch_id else None
         events = (fresh if tail is None else fresh.unionByName(tail)).persist()
         try:
-            newest = events.agg(F.max(micros(first.ts))).scalar()
-            kept = events.filter(micros(first.ts) > newest - F.lit(self.horizon_us))
-            kept.write.mode("overwrite").parquet(f"{self.base}/tail/batch={batch_id}")
-            found, errors = apply_rules(events, self.rules)
-            if found is not None:
-                found.write.mode("overwrite").parquet(f"{self.base}/alerts/batch={batch_id}")
+            now = F.unix_micros(F.current_timestamp())
+            newest = events.agg(*(F.max(F.when(micros(t) <= now, micros(t))).alias(t) for t in self.times)).first()
+            young = [micros(t) > F.lit(newest[t]) - F.lit(self.horizon_us) for t in self.times if newest[t] is not None]
+            recent = F.col("_batch") > F.lit(batch_id - self.patience)
+            events.filter(reduce(or_, young, recent)).write.mode("overwrite").parquet(f"{self.base}/tail/{batch_id % 2}")
+            raised, errors = write_alerts(events.drop("_batch"), self.rules, f"{self.base}/alerts/batch={batch_id}")
         finally:
             events.unpersist()
+        row = {"files_processed": 0, "rows_total": 0, "rows_dropped_invalid_date": 0} | (counts or {})
+        row |= {"alerts_raised": raised, "rule_errors": len(errors)}
+        counted = spark.range(1).select(*(F.lit(n).cast("long").alias(k) for k, n in row.items()))
+        counted.write.mode("overwrite").json(f"{self.base}/counters/batch={batch_id}")
         return errors
 
-    def start(self, events: DataFrame, checkpoint: str) -> StreamingQuery:
-        def check(batch: DataFrame, batch_id: int) -> None:
-            for rule, error in self.process(batch, batch_id).items():
-                LOGGER.error("rule %s failed on batch %s: %s", rule, batch_id, error)
+    def start(self, rows: DataFrame, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+        """Checks a stream of log rows as ``log_stream`` gives them; the default trigger ends when all is read.
 
-        writer = events.writeStream.foreachBatch(check)
-        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        ``trigger={"processingTime": "1 minute"}`` keeps watching the folder.
+        """
+        require_columns(rows, REQUIRED)
+        named = rows.withColumn("_file", F.input_file_name())
+
+        def check(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                clean = clean_log(batch, metrics=None)
+                total, files = batch.agg(F.count("*"), F.count_distinct("_file")).first()
+                counts = {"files_processed": files, "rows_total": total, "rows_dropped_invalid_date": total - clean.count()}
+                for rule, error in self.process(clean, batch_id, counts).items():
+                    LOGGER.error("rule %s failed on batch %s: %s", rule, batch_id, error)
+            finally:
+                batch.unpersist()
+
+        writer = named.writeStream.foreachBatch(check)
+        return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+    def counters(self, spark: SparkSession) -> dict[str, int]:
+        """Files, rows, dropped rows, alerts and rule errors of all batches; an alert counts in each batch that raises it."""
+        sums = spark.read.json(f"{self.base}/counters").drop("batch")
+        return sums.agg(*(F.sum(c).alias(c) for c in sums.columns)).first().asDict()
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         """All alerts so far: one per minute of a global rule, one per key of a keyed rule."""
