@@ -113,3 +113,14 @@ def test_more_than_one(spark):
     df = spark.createDataFrame([(1, "M"), (1, "F"), (2, "M"), (2, None), (3, None)], "room int, sex string")
     got = df.groupBy("room").agg(st.more_than_one("sex").alias("mixed"))
     assert {r.room: r.mixed for r in got.collect()} == {1: True, 2: False, 3: False}
+
+
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in (1, 2, 3, "nan")] + [("b", float("nan"))], "k string, v double")
+    row = st.percentiles(df, "v", [0.5]).first()
+    assert (row.n, row.p0) == (3, 2.0)
+    (group,) = st.describe(df, "v", ["k"]).collect()
+    assert (group.k, group["count"], group.max, group.mean) == ("a", 3, 3.0, 2.0)
+    assert st.value_counts(df, "v").count() == 3
+    assert st.at_maximum(df, "v", F.lit(True)).first().max_value == 3.0
+    assert st.first_percentile_above(df, "v", 2.5).first().first_pct == 76

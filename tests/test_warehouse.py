@@ -179,3 +179,27 @@ def test_audit_row(spark):
 
 def test_row_counts(spark):
     assert tuples(wh.row_counts({"a": spark.range(3), "b": spark.range(0)})) == [("a", 3), ("b", 0)]
+
+
+def test_every_batch_row_is_inserted_or_rejected(spark):
+    target = spark.createDataFrame([(9, "Z")], "k int, o string")
+    batch = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (2, "C"), (9, "Z"), (9, "Z"), (None, "N"), (None, "N")], "k int, o string")
+    load = wh.insert_ignore(target, batch, ["k"], ["o"])
+    assert tuples(load.inserted) == [(1, "A"), (2, "C")]
+    assert sorted(map(str, tuples(load.rejected))) == sorted(map(str, [(1, "A"), (1, "B"), (9, "Z"), (9, "Z"), (None, "N"), (None, "N")]))
+    many = spark.range(25_000).select(F.lit(1).alias("k"), F.lit("A").alias("o"))
+    assert wh.insert_ignore(target, many, ["k"], ["o"]).rejected.count() == 24_999
+
+
+def test_type_1_changes_look_at_differing_rows_only(spark):
+    dim = spark.createDataFrame([(1, "Zed", True), (2, "Bo", True), (3, None, True), (4, "Al", False)], "k int, n string, cur boolean")
+    batch = spark.createDataFrame([(1, "Zed"), (1, "Adam"), (2, "Bo"), (3, "Cy"), (4, "Di"), (5, "New")], "k int, n string")
+    changed = wh.overwrite_attribute(dim, batch, "k", "n", ["-n"], F.col("cur"))
+    assert tuples(changed) == [(1, "Adam", True), (2, "Bo", True), (3, None, True), (4, "Al", False)]
+
+
+def test_versions_need_a_key(spark):
+    dim = spark.createDataFrame([], "k int, a string, valid_from timestamp, valid_to timestamp, is_current boolean")
+    batch = spark.createDataFrame([(None, "x"), (1, "y")], "k int, a string")
+    loaded = wh.versioned_dimension(dim, batch, "k", ["a"], F.current_timestamp(), ["a"])
+    assert [r.k for r in loaded.collect()] == [1]

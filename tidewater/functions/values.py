@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,7 +23,9 @@ def units(amount: Column, decimals: int = 4) -> Column:
 
 
 def from_units(total: Column, decimals: int = 4) -> Column:
-    return F.round(total.cast("double") / F.lit(10.0**decimals), decimals)
+    """The amount as a double. The decimal point is moved in decimals, so only the last step rounds."""
+    whole = total.cast("decimal(28,0)")
+    return (whole * F.lit(Decimal(1).scaleb(-decimals))).cast("double")
 
 
 def whole_number(text: Column, kind: str = "bigint") -> Column:

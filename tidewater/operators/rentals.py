@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import month_back
+from tidewater.functions.values import from_units, units
 
 
 def held_by(rentals: DataFrame, item: Sequence[str], customer: str, returned: str) -> DataFrame:
@@ -56,11 +57,11 @@ def customer_balance(customers: DataFrame, rentals: DataFrame, payments: DataFra
     if replacement:
         lost = overdue > F.col("rental_duration") * 2
         charge = charge + F.when(lost, F.col("replacement_cost")).otherwise(0)
-    charges = rentals.filter(F.col("rental_date") <= as_of).groupBy("customer_id").agg(F.sum(charge).alias("_charged"))
-    paid = payments.filter(F.col("payment_date") <= as_of).groupBy("customer_id").agg(F.sum("amount").alias("_paid"))
+    charges = rentals.filter(F.col("rental_date") <= as_of).groupBy("customer_id").agg(F.sum(units(charge)).alias("_charged"))
+    paid = payments.filter(F.col("payment_date") <= as_of).groupBy("customer_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
     return (
         customers.select("customer_id").join(charges, "customer_id", "left").join(paid, "customer_id", "left")
-        .select("customer_id", (F.coalesce("_charged", F.lit(0)) - F.coalesce("_paid", F.lit(0))).alias("balance"))
+        .select("customer_id", from_units(F.coalesce("_charged", F.lit(0)) - F.coalesce("_paid", F.lit(0))).alias("balance"))
     )
 
 
@@ -74,7 +75,7 @@ def rewards_report(customers: DataFrame, payments: DataFrame, min_purchases: int
     first = month_back(as_of, months)
     month = payments.filter((F.col("payment_date") >= first) & (F.col("payment_date") < F.date_add(F.last_day(first), 1)))
     rewarded = (
-        month.groupBy("customer_id").agg(F.sum("amount").alias("_sum"), F.count("*").alias("_n"))
-        .filter((F.col("_sum") > min_amount) & (F.col("_n") > min_purchases))
+        month.groupBy("customer_id").agg(F.sum(units(F.col("amount"))).alias("_sum"), F.count("*").alias("_n"))
+        .filter((F.col("_sum") > units(F.lit(min_amount))) & (F.col("_n") > min_purchases))
     )
     return customers.join(rewarded, "customer_id", "left_semi")

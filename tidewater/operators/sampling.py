@@ -34,6 +34,7 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def other_choice(current: Column, choices: Sequence[str], key: str, seed: int = 42) -> Column:
-    """One of the choices other than the current one."""
-    rest = F.array_remove(F.array(*(F.lit(c) for c in choices)), current)
+    """One of the choices other than the current one; any of them for a null."""
+    every = F.array(*(F.lit(c) for c in choices))
+    rest = F.when(current.isNull(), every).otherwise(F.array_remove(every, current))
     return F.element_at(rest, (F.pmod(draw(key, seed), F.size(rest)) + 1).cast("int"))

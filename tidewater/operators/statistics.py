@@ -15,8 +15,16 @@ ACCURACY = 10000
 BRACKET_SLICES = 256
 
 
+def number_or_null(df: DataFrame, column: str) -> DataFrame:
+    """Not-a-number is a missing value in the data-frame reports."""
+    if df.schema[column].dataType.typeName() in ("float", "double"):
+        return df.withColumn(column, F.nanvl(F.col(column), F.lit(None).cast(df.schema[column].dataType)))
+    return df
+
+
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     """Rows per value, most frequent first; nulls are left out."""
+    df = number_or_null(df, column)
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias(name))
     return counts.orderBy(F.desc(name), column)
 
@@ -51,7 +59,9 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
     counts what lies below a bracket and keeps the few values inside it, from which the
     exact order statistics are read. A bracket that misses its rank raises an error.
     ``also`` are further aggregates of the non-null ``value`` to take in the first pass.
+    Not-a-number counts as null.
     """
+    df = number_or_null(df, value)
     points = F.expr(f"array({', '.join(f'{i / grid}D' for i in range(grid + 1))})")
     present = df.filter(F.col(value).isNotNull()).select(*keys, value, F.col(value).cast("double").alias("_v"))
     facts = F.struct(F.count("*").alias("n"), *also)
@@ -139,7 +149,7 @@ def first_percentile_above(df: DataFrame, value: str, threshold: float) -> DataF
     values next to the threshold, so four simple aggregates replace a sort.
     """
     x, t = F.col(value), F.lit(float(threshold))
-    facts = df.agg(
+    facts = number_or_null(df, value).agg(
         F.count(x).alias("n"),
         F.count_if(x <= t).alias("c"),
         F.max(F.when(x <= t, x)).alias("a"),
@@ -158,6 +168,7 @@ def first_percentile_above(df: DataFrame, value: str, threshold: float) -> DataF
 
 def at_maximum(df: DataFrame, value: str, has: Column) -> DataFrame:
     """One row: the maximum, how many rows reach it, and the share of these with a property."""
+    df = number_or_null(df, value)
     top = df.agg(F.max(value)).scalar()
     return df.filter(F.col(value) == top).agg(
         F.max(value).alias("max_value"),

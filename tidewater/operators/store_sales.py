@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +30,21 @@ CORE_SCHEMAS = {
 }
 
 
-def prepare_loads(rows: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Initial load (about 80 %) and a second one to test the loads with.
+def prepare_loads(rows: DataFrame, seed: int = 42, regions: Sequence[str] = REGIONS, percent: int = 80, new_share: float = 0.5,
+                  repeated_rows: int = 50, renamed_rows: int = 20, moved_rows: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Initial load (about ``percent`` %) and a second one to test the loads with.
 
-    The second holds half of the other rows, 50 repeated rows, 20 renamed customers and 20
-    moved regions, in random order. All draws are hashes of the row id.
+    The second holds a share of the other rows, repeated rows, renamed customers and moved
+    regions, in random order. All draws are hashes of the row id.
     """
-    initial, rest = sp.bernoulli_split(rows, "row_id", 80, seed)
-    new = sp.sample_fraction(rest, "row_id", 0.5, seed + 1)
-    repeated = sp.sample_rows(initial, "row_id", 50, seed + 2)
-    renamed = sp.sample_rows(initial, "row_id", 20, seed + 3).withColumn(
+    initial, rest = sp.bernoulli_split(rows, "row_id", percent, seed)
+    new = sp.sample_fraction(rest, "row_id", new_share, seed + 1)
+    repeated = sp.sample_rows(initial, "row_id", repeated_rows, seed + 2)
+    renamed = sp.sample_rows(initial, "row_id", renamed_rows, seed + 3).withColumn(
         "customer_name", F.concat("customer_name", F.lit(" (Updated)"))
     )
-    moved = sp.sample_rows(initial, "row_id", 20, seed + 4).withColumn(
-        "region", sp.other_choice(F.col("region"), REGIONS, "row_id", seed)
+    moved = sp.sample_rows(initial, "row_id", moved_rows, seed + 4).withColumn(
+        "region", sp.other_choice(F.col("region"), regions, "row_id", seed)
     )
     second = new.unionByName(repeated).unionByName(renamed).unionByName(moved)
     return initial, sp.shuffle_rows(second, "row_id", seed)

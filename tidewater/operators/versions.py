@@ -33,7 +33,15 @@ def restore(current: DataFrame, earlier: DataFrame, condition: Column, keys: Seq
     return current.unionByName(lost.select(*current.columns))
 
 
-def clone_as_of(history: DataFrame, keys: Sequence[str], at: Column, path: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Writes the table as of a moment to a path and reads it back."""
-    as_of(history, keys, at, tie).drop("_version_ts", "_op").write.mode("overwrite").parquet(path)
+def clone_as_of(history: DataFrame, keys: Sequence[str], at: Column, path: str | None = None,
+                tie: Sequence[str] = ()) -> DataFrame:
+    """The table as of a moment as a table of its own.
+
+    Versions are never changed, so the clone needs no copy: it reads them up to its moment. With
+    a path its rows are written there and read back.
+    """
+    clone = as_of(history, keys, at, tie).drop("_version_ts", "_op")
+    if path is None:
+        return clone
+    clone.write.mode("overwrite").parquet(path)
     return history.sparkSession.read.parquet(path)

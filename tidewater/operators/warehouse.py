@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.ranking import first_per_key
 
-NUMBER_BUCKETS = 1024
+# Keys that are numbered together, about; a row of a list of bucket sizes for each bucket
+NUMBERED = 100_000
+REPEATS = 10_000
 
 
 @dataclass(frozen=True)
@@ -33,20 +35,28 @@ def _no_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
 
 
+def _repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row as often as a column says, without one long array for a row that is repeated very often."""
+    runs = df.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / REPEATS))))
+    last = F.least(F.lit(REPEATS), F.col(times) - F.col("_run") * REPEATS)
+    return runs.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("bigint"), last))).drop("_run", "_one", times)
+
+
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Load:
     """Insert on a primary key: present rows win, the first of the batch (in ``order``) enters.
 
-    Rows with a null key are rejected, as a primary key demands. ``order`` must tell the
-    rows of a key apart: a rejected row is one that differs in it from the row that entered.
+    Every other row is rejected, so inserted and rejected rows make up the batch; rows with a null key
+    are rejected too, as a primary key demands. Equal rows are counted first and rejected by number.
     """
-    first = first_per_key(batch.filter(_no_null(keys)), keys, order)
+    rows = batch.groupBy(*batch.columns).agg(F.count("*").alias("_n"))
+    first = first_per_key(rows.filter(_no_null(keys)).drop("_n"), keys, [*order, *(c for c in batch.columns if c not in order)])
     known = target.select(*keys).distinct()
     inserted = first.join(known, list(keys), "left_anti").select(*batch.columns)
-    parts = [n.lstrip("-") for n in order]
-    winners = inserted.select(*keys, F.struct(*parts).alias("_winner"))
-    entered = F.coalesce(F.struct(*parts).eqNullSafe(F.col("_winner")), F.lit(False))
-    rejected = batch.join(winners, list(keys), "left").filter(F.col("_winner").isNull() | ~entered)
-    return Load(inserted, rejected.select(*batch.columns))
+    whole = F.struct(*batch.columns)
+    winners = inserted.select(*keys, whole.alias("_winner"))
+    entered = F.coalesce(whole.eqNullSafe(F.col("_winner")), F.lit(False)).cast("bigint")
+    turned = rows.join(winners, list(keys), "left").withColumn("_n", F.col("_n") - entered).filter("_n > 0")
+    return Load(inserted, _repeated(turned, "_n").select(*batch.columns))
 
 
 def insert_ignore_unique(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -67,16 +77,19 @@ def insert_ignore_unique(target: DataFrame, batch: DataFrame, keys: Sequence[str
 
 
 def surrogate_keys(df: DataFrame, keys: Sequence[str], name: str, start: int | Column = 0,
-                   bucket: Column | None = None, buckets: int = NUMBER_BUCKETS) -> DataFrame:
+                   bucket: Column | None = None, buckets: int | None = None) -> DataFrame:
     """Numbers unique natural keys densely from ``start + 1``, the same on every run.
 
     Numbering in one global order is one task. Keys are numbered inside buckets (a hash of
     the key by default) and shifted by the sizes of the lower buckets, so the only table a
-    single task sees is the list of bucket sizes, at most one row per bucket. More buckets
-    suit larger inputs; their number is part of the numbering.
+    single task sees is the list of bucket sizes, at most one row per bucket. The number of
+    buckets is part of the numbering; by default it follows the number of rows, which is counted.
     """
-    hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
-    bucketed = df.withColumn("_bucket", hashed if bucket is None else F.coalesce(bucket, F.lit(-1)))
+    if bucket is None and buckets is None:
+        buckets = 1 + df.count() // NUMBERED
+    if bucket is None:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    bucketed = df.withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size")).select(
         "_bucket", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_shift")
@@ -110,13 +123,15 @@ def overwrite_attribute(dim: DataFrame, batch: DataFrame, key: str, attribute: s
                         current: Column | None = None, stamp: tuple[str, Column] | None = None) -> DataFrame:
     """Type 1 change: current members take the batch's value where it differs.
 
-    Of several batch rows for a member the first in ``order`` counts. A null on either
-    side does not differ. ``stamp`` sets a last-update column on changed rows.
+    Of several batch rows that differ from a member the first in ``order`` counts. A null on
+    either side does not differ. ``stamp`` sets a last-update column on changed rows.
     """
-    incoming = first_per_key(batch, [key], order).select(key, F.col(attribute).alias("_new"))
-    changes = (F.lit(True) if current is None else current) & (F.col(attribute) != F.col("_new"))
-    changes = F.coalesce(changes, F.lit(False))
-    joined = dim.join(incoming, key, "left")
+    present = F.lit(True) if current is None else F.coalesce(current, F.lit(False))
+    members = dim.filter(present).select(F.col(key).alias("_key"), F.col(attribute).alias("_old")).distinct()
+    differing = batch.join(members, (F.col(key) == F.col("_key")) & (F.col(attribute) != F.col("_old")))
+    first = first_per_key(differing, ["_key", "_old"], order).select("_key", "_old", F.col(attribute).alias("_new"))
+    joined = dim.join(first, present & (F.col(key) == F.col("_key")) & (dim[attribute] == F.col("_old")), "left")
+    changes = F.col("_new").isNotNull()
     if stamp:
         joined = joined.withColumn(stamp[0], F.when(changes, stamp[1]).otherwise(F.col(stamp[0])))
     return joined.withColumn(attribute, F.when(changes, F.col("_new")).otherwise(F.col(attribute))).select(*dim.columns)
@@ -136,9 +151,10 @@ def versioned_dimension(dim: DataFrame, batch: DataFrame, key: str, attributes:
                         order: Sequence[str]) -> DataFrame:
     """Type 2 change: closes changed current rows, opens their successors, adds new members.
 
-    ``dim`` has the key, the attributes, ``valid_from``, ``valid_to`` and ``is_current``.
+    ``dim`` has the key, the attributes, ``valid_from``, ``valid_to`` and ``is_current``. A batch row
+    without a key names no member and is left out.
     """
-    incoming = first_per_key(batch, [key], order).select(key, F.struct(*attributes).alias("_new"))
+    incoming = first_per_key(batch.filter(_no_null([key])), [key], order).select(key, F.struct(*attributes).alias("_new"))
     current = F.coalesce("is_current", F.lit(False))
     closed_type = dim.schema["valid_to"].dataType
 

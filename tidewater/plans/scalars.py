@@ -273,19 +273,23 @@ def json_props(t):
     return t.events.select("event_id", F.try_variant_get(parsed, "$.k", "bigint").alias("k"))
 
 
-@query()
+@query("SELECT event_id, 'StationName=' || event_type || ';props=' || props AS item FROM events")
 def prune_map(t):
     fields = F.create_map(
         F.lit("station_dep"), F.col("event_type"), F.lit("props"), F.col("props"),
         F.lit("blank"), F.lit(""), F.lit("missing"), F.lit(None).cast("string"),
     )
     pruned = values.rename_key(values.without_empty(fields), "station_dep", "StationName")
-    return t.events.select("event_id", pruned.alias("item"))
+    entries = F.array_sort(F.transform(F.map_entries(pruned), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return t.events.select("event_id", F.array_join(entries, ";").alias("item"))
 
 
-@query()
+@query("SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_in_form FROM orders")
 def with_uuid(t):
-    return t.orders.select("o_orderkey", F.uuid().alias("row_id"))
+    """How many identifiers are given, differ, and have the form of a version 4 UUID."""
+    named = t.orders.select("o_orderkey", F.uuid().alias("row_id"))
+    form = F.col("row_id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return named.agg(F.count("*").alias("n"), F.count_distinct("row_id").alias("n_distinct"), F.count_if(form).alias("n_in_form"))
 
 
 @query(
