@@ -50,6 +50,14 @@ def test_sliced_operators_shuffle_the_rows_once(spark, no_broadcast):
     assert "SortMergeJoin [_key" in plan
 
 
+def test_windows_over_a_whole_sequence_read_spans(spark, no_broadcast):
+    """What meets in one partition has been summed by span before."""
+    for name in ("run_length_whole", "rolling_spikes"):
+        lines = physical(PLANS[name](Tables(spark, FOLDER))).splitlines()
+        single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+        assert all("_span" in " ".join(lines[i : i + 4]) for i in single)
+
+
 def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in physical(PLANS["top_supp_revenue"](Tables(spark, FOLDER)))
 

@@ -2,8 +2,9 @@
 
 A window over a whole table, or over a key that holds a third of it, would sort that
 part in a single task. Here each sequence is cut into slices of its order column; rows
-see their slice, and one summary row per slice carries what must cross its edge. The
-summaries are the only rows a key-wide window reads.
+see their slice, and one summary row per slice carries what must cross its edge.
+Running sums and runs cut the summaries again, into spans of ``SPAN`` slices, so that a
+key-wide window reads one row per span.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_WIDTH = 65536
+SPAN = 4096
 
 
 def slice_of(order: str, width: int = SLICE_WIDTH) -> Column:
@@ -34,13 +36,39 @@ def _sliced(df: DataFrame, order: str, keys: Sequence[str], part: Column | None)
     return df.withColumn("_slice", number), sequence, [*sequence, "_slice"]
 
 
+def _spans(summaries: DataFrame) -> DataFrame:
+    return summaries.withColumn("_span", F.floor(F.col("_slice") / F.lit(SPAN)))
+
+
+def _sum_before(summaries: DataFrame, sequence: Sequence[str], value: Column, alias: str) -> DataFrame:
+    """Adds the sum of ``value`` over the earlier slices of the sequence, 0 for the first."""
+    valued = _spans(summaries).withColumn("_value", value)
+    across = Window.partitionBy(*sequence).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = valued.groupBy(*sequence, "_span").agg(F.sum("_value").alias("_whole"))
+    spans = spans.select(*sequence, "_span", F.sum("_whole").over(across).alias("_far"))
+    inside = Window.partitionBy(*sequence, "_span").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    near = valued.withColumn("_near", F.sum("_value").over(inside))
+    both = near.join(spans, [*sequence, "_span"])
+    return both.withColumn(alias, F.coalesce("_near", F.lit(0)) + F.coalesce("_far", F.lit(0))).drop("_span", "_value", "_near", "_far")
+
+
+def _slice_before(summaries: DataFrame, sequence: Sequence[str], value: Column, alias: str) -> DataFrame:
+    """Adds ``value`` (never null) of the slice before, null for the first."""
+    valued = _spans(summaries).withColumn("_value", value)
+    across = Window.partitionBy(*sequence).orderBy("_span")
+    spans = valued.groupBy(*sequence, "_span").agg(F.max_by("_value", "_slice").alias("_last_one"))
+    spans = spans.select(*sequence, "_span", F.lag("_last_one").over(across).alias("_far"))
+    inside = Window.partitionBy(*sequence, "_span").orderBy("_slice")
+    near = valued.withColumn("_near", F.lag("_value").over(inside))
+    return near.join(spans, [*sequence, "_span"]).withColumn(alias, F.coalesce("_near", "_far")).drop("_span", "_value", "_near", "_far")
+
+
 def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
                 alias: str = "running") -> DataFrame:
     """Sum of ``value`` over all rows of the key up to the current one, peers included."""
     sliced, sequence, piece = _sliced(df, order, keys, part)
     totals = sliced.groupBy(*piece).agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(*sequence).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*piece, F.sum("_total").over(before).alias("_base"))
+    bases = _sum_before(totals, sequence, F.col("_total"), "_base").select(*piece, "_base")
     inside = Window.partitionBy(*piece).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_inside", F.sum(value).over(inside))
     return (
@@ -90,12 +118,11 @@ def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
         F.min_by(value, "_inner").alias("_first"),
         F.max_by(value, "_inner").alias("_last"),
     ).join(sizes, piece)
-    across = Window.partitionBy(*sequence).orderBy("_slice")
-    earlier = F.lag(F.struct("_last")).over(across)
-    marked = ends.withColumn("_joined", (earlier.isNotNull() & earlier["_last"].eqNullSafe(F.col("_first"))).cast("int"))
-    own = F.sum(F.col("_runs") - F.col("_joined")).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    linked = _slice_before(ends, sequence, F.struct("_last"), "_earlier")
+    joined = F.col("_earlier").isNotNull() & F.col("_earlier._last").eqNullSafe(F.col("_first"))
+    marked = _sum_before(linked.withColumn("_joined", joined.cast("int")), sequence, F.col("_runs") - F.col("_joined"), "_own")
     shifted = marked.select(
-        *piece, "_runs", "_joined", "_size", "_second", (F.coalesce(own, F.lit(0)) - F.col("_joined")).alias("_shift")
+        *piece, "_runs", "_joined", "_size", "_second", (F.col("_own") - F.col("_joined")).alias("_shift")
     ).withColumn("run", F.col("_runs") + F.col("_shift"))
     # what the slices behind add to a run that reaches their edge
     added = shifted.filter("_joined = 1").groupBy(*sequence, (F.col("_shift") + 1).alias("run")).agg(
