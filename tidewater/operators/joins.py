@@ -75,17 +75,20 @@ def keys_covering(rows: DataFrame, row_id: str, element: str, sets: DataFrame, s
 
 
 def direct_product(df: DataFrame, vectors: str, alias: str = "combination") -> DataFrame:
-    """All combinations of one element from each vector of an array of arrays, row by row."""
-    vector_type = df.schema[vectors].dataType.elementType.simpleString()
-    start = F.array(F.array().cast(vector_type))
-    extended = F.aggregate(
-        F.col(vectors),
-        start,
-        lambda acc, vector: F.flatten(
-            F.transform(acc, lambda head: F.transform(vector, lambda x: F.concat(head, F.array(x))))
-        ),
-    )
-    return df.withColumn(alias, F.explode(extended))
+    """All combinations of one element from each vector of an array of arrays, row by row.
+
+    Rows are multiplied vector by vector, so no row ever holds a product; the longest array is
+    looked up first. An array without vectors has one combination, the empty one.
+    """
+    longest = df.agg(F.max(F.size(vectors))).first()[0] or 0
+    element = df.schema[vectors].dataType.elementType
+    rows = df.filter(F.col(vectors).isNotNull()).withColumn(alias, F.array().cast(element))
+    for i in range(longest):
+        # one step for a row that has no such vector
+        vector = F.when(F.size(vectors) > i, F.get(vectors, F.lit(i))).otherwise(F.array(F.lit(None).cast(element.elementType)))
+        longer = F.when(F.size(vectors) > i, F.concat(alias, F.array("_element"))).otherwise(F.col(alias))
+        rows = rows.withColumn("_element", F.explode(vector)).withColumn(alias, longer).drop("_element")
+    return rows
 
 
 def distance_matrix(left: DataFrame, left_id: str, left_vec: str, right: DataFrame, right_id: str, right_vec: str,

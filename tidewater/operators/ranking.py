@@ -22,8 +22,6 @@ def top_dense(df: DataFrame, value: str, k: int, keys: Sequence[str] = (), rank:
         levels = levels.orderBy(order).limit(k)
     ranked = levels.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
     ranked = ranked.filter(F.col(rank) <= k)
-    if not keys:
-        ranked = F.broadcast(ranked)
     return join_null_safe(df, ranked, [*keys, value])
 
 
