@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -79,9 +81,11 @@ class FlightWarehouse:
     def _write(self, name: str, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.base}/{name}/batch={batch_id}")
 
-    def start(self, feed: DataFrame, checkpoint: str) -> StreamingQuery:
+    def start(self, feed: DataFrame, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+        """Loads the feed batch by batch; the default trigger ends when all is read."""
+
         def load(batch: DataFrame, batch_id: int) -> None:
             self.process(batch, batch_id)
 
         writer = feed.writeStream.foreachBatch(load)
-        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
