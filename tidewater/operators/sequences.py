@@ -52,17 +52,6 @@ def _sum_before(summaries: DataFrame, sequence: Sequence[str], value: Column, al
     return both.withColumn(alias, F.coalesce("_near", F.lit(0)) + F.coalesce("_far", F.lit(0))).drop("_span", "_value", "_near", "_far")
 
 
-def _slice_before(summaries: DataFrame, sequence: Sequence[str], value: Column, alias: str) -> DataFrame:
-    """Adds ``value`` (never null) of the slice before, null for the first."""
-    valued = _spans(summaries).withColumn("_value", value)
-    across = Window.partitionBy(*sequence).orderBy("_span")
-    spans = valued.groupBy(*sequence, "_span").agg(F.max_by("_value", "_slice").alias("_last_one"))
-    spans = spans.select(*sequence, "_span", F.lag("_last_one").over(across).alias("_far"))
-    inside = Window.partitionBy(*sequence, "_span").orderBy("_slice")
-    near = valued.withColumn("_near", F.lag("_value").over(inside))
-    return near.join(spans, [*sequence, "_span"]).withColumn(alias, F.coalesce("_near", "_far")).drop("_span", "_value", "_near", "_far")
-
-
 def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
                 alias: str = "running") -> DataFrame:
     """Sum of ``value`` over all rows of the key up to the current one, peers included."""
@@ -118,9 +107,23 @@ def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
         F.min_by(value, "_inner").alias("_first"),
         F.max_by(value, "_inner").alias("_last"),
     ).join(sizes, piece)
-    linked = _slice_before(ends, sequence, F.struct("_last"), "_earlier")
-    joined = F.col("_earlier").isNotNull() & F.col("_earlier._last").eqNullSafe(F.col("_first"))
-    marked = _sum_before(linked.withColumn("_joined", joined.cast("int")), sequence, F.col("_runs") - F.col("_joined"), "_own")
+    # inside a span, then from span to span, as in _sum_before
+    within = Window.partitionBy(*sequence, "_span").orderBy("_slice")
+    near = _spans(ends).withColumn("_earlier", F.lag(F.struct("_last")).over(within))
+    near = near.withColumn("_continues", F.coalesce(F.col("_earlier._last").eqNullSafe(F.col("_first")) & F.col("_earlier").isNotNull(), F.lit(False)).cast("int"))
+    near = near.withColumn("_near", F.coalesce(F.sum(F.col("_runs") - F.col("_continues")).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    across = Window.partitionBy(*sequence).orderBy("_span")
+    spans = near.groupBy(*sequence, "_span").agg(
+        F.sum(F.col("_runs") - F.col("_continues")).alias("_whole"), F.min_by("_first", "_slice").alias("_f"), F.max_by("_last", "_slice").alias("_l")
+    ).withColumn("_before", F.lag(F.struct("_l")).over(across))
+    opens = (F.col("_before").isNotNull() & F.col("_before._l").eqNullSafe(F.col("_f"))).cast("int")
+    far = F.sum(F.col("_whole") - F.col("_opens")).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("_opens", opens).select(*sequence, "_span", "_opens", F.coalesce(far, F.lit(0)).alias("_far"))
+    first = F.col("_earlier").isNull()
+    marked = near.join(spans, [*sequence, "_span"]).withColumns({
+        "_joined": F.when(first, F.col("_opens")).otherwise(F.col("_continues")),
+        "_own": F.col("_near") + F.col("_far") - F.when(first, 0).otherwise(F.col("_opens")),
+    })
     shifted = marked.select(
         *piece, "_runs", "_joined", "_size", "_second", (F.col("_own") - F.col("_joined")).alias("_shift")
     ).withColumn("run", F.col("_runs") + F.col("_shift"))

@@ -83,30 +83,24 @@ def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequenc
         )
 
     wanted = sketch.select(*keys, "_f", F.array(*(bracket(p) for p in probs)).alias("_b"))
-    bounds = F.transform("_b", lambda b: F.struct(b["from"].alias("from"), b["to"].alias("to")))
     if keys:
         # one row per key: broadcast while small; else a hot key is split as a skewed join,
         # which the exchange of the next aggregation allows
-        bracketed = join_null_safe(present, wanted.select(*keys, bounds.alias("_r")), keys)
+        bracketed = join_null_safe(present, wanted, keys)
     else:
-        bracketed = present.withColumn("_r", wanted.select(bounds).scalar())
+        bracketed = present.withColumn("_w", wanted.select(F.struct("_f", "_b")).scalar()).select("_v", "_w._f", "_w._b")
 
     def cell(i: int) -> Column:
-        low, high = F.col("_r")[i]["from"], F.col("_r")[i]["to"]
-        value_in = F.struct(F.lit(i).alias("i"), F.when(F.col("_v") >= low, F.col("_v")).alias("v"))
-        return F.when(F.col("_v") <= high, value_in)
+        b = F.col("_b")[i]
+        value_in = F.when(F.col("_v") >= b["from"], F.col("_v"))
+        return F.when(F.col("_v") <= b["to"], F.struct(F.lit(i).alias("i"), value_in.alias("v"), b.alias("b")))
 
+    # rows bring their bracket along, so that it is joined once; those below it become one row
     counted = (
-        bracketed.select(*keys, F.explode(F.array(*(cell(i) for i in range(len(probs))))).alias("_cell"))
-        .filter(F.col("_cell").isNotNull())
-        .groupBy(*keys, F.col("_cell.i").alias("_i"), F.col("_cell.v").alias("_v")).agg(F.count("*").alias("_c"))
+        bracketed.select(*keys, "_f", F.explode(F.array_compact(F.array(*(cell(i) for i in range(len(probs)))))).alias("_cell"))
+        .groupBy(*keys, "_f", "_cell").agg(F.count("*").alias("_c"))
     )
-    if keys:
-        cells = join_null_safe(counted, wanted, keys)
-    else:
-        both = wanted.select(F.struct("_f", "_b")).scalar()
-        cells = counted.withColumn("_w", both).select("_i", "_v", "_c", "_w._f", "_w._b")
-    cells = cells.withColumn("_b", F.element_at("_b", F.col("_i") + 1))
+    cells = counted.select(*keys, "_f", F.col("_cell.i").alias("_i"), F.col("_cell.v").alias("_v"), F.col("_cell.b").alias("_b"), "_c")
     # the null value stands for everything below the bracket; the rest is cut into slices
     width = (F.col("_b.to") - F.col("_b.from")) / F.lit(BRACKET_SLICES)
     slice_no = F.when(F.col("_v").isNull(), -1).when(width > 0, F.floor((F.col("_v") - F.col("_b.from")) / width)).otherwise(0)
