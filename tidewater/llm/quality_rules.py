@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import SPACE, WORD, keep, words
@@ -141,37 +141,40 @@ def cutoffs(rated: DataFrame, limit: float = FALSE_REJECTION, error: float = ERR
         F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cut"), F.col(f"{rule}_{i}_1").alias("k"), F.col(f"{rule}_{i}_0").alias("caught"))
         for i, (rule, cut) in enumerate(tried)
     ]
-    # few strata: one row each, so the number of tests is known by one pass over them
-    tests = counted.agg((F.count("*") * len(tried)).alias("tests"))
-    tested = counted.select("stratum", "n", F.explode(F.array(*entries)).alias("e")).select("stratum", "n", "e.*").join(F.broadcast(tests))
+    # a row per stratum is left here, so counting them is one short pass
+    tests = F.count("*").over(Window.partitionBy()) * len(tried)
+    tested = counted.select("stratum", "n", tests.alias("tests"), F.explode(F.array(*entries)).alias("e")).select("stratum", "n", "tests", "e.*")
     safe = tested.where((F.col("caught") > 0) & (binomial_tail(F.col("n"), F.col("k"), part) * F.col("tests") <= error))
     best = F.max_by("cut", F.struct("caught", "cut"))
     return safe.groupBy("stratum").agg(*[F.max_by(F.when(F.col("rule") == rule, F.col("cut")), F.when(F.col("rule") == rule, F.struct("caught", "cut"))).alias(f"cut_{rule}") for rule in GRIDS])
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """``docs`` as a struct ``row`` with the counts, ``base_failed`` and ``kept``.
+def judge(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", whole: bool = False
+) -> DataFrame:
+    """``id, stratum``, the counts, ``base_failed`` and ``kept``; the row itself as a struct ``row`` if ``whole``.
 
     ``labels`` has ``doc_id, quality``; a document labelled twice is good only if all say so, null
     labels and ids don't count. A null stratum is one of its own; a stratum without enough good
     labelled documents gets no cutoffs and is judged by the base rules alone. Null and empty texts
-    fail the base rules. Repeated rows are judged alike. Further columns stay inside ``row``. An
+    fail the base rules. Repeated rows are judged alike. Other columns are read for ``row`` alone. An
     empty table gives an empty one. Counts are taken once and written to the shared folder; labels
     and documents meet by id, with the counts only.
     """
-    counted = keep(features(docs, text_col).withColumn("base_failed", base_failed()), "features")
+    row_id, stratum = F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{stratum_col}`").alias("stratum")
+    counted = features(docs, text_col).withColumn("base_failed", base_failed()).select(row_id, stratum, "*")
+    counted = keep(counted if whole else counted.drop("row"), "features")
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
-    row_id, stratum = F.col(f"row.`{id_col}`"), F.col(f"row.`{stratum_col}`")
-    rated = counted.where("not base_failed").select(row_id.alias("id"), stratum.alias("stratum"), *[c.alias(n) for n, c in rates().items()])
+    rated = counted.where("not base_failed").select("id", "stratum", *[c.alias(n) for n, c in rates().items()])
     chosen = keep(cutoffs(rated.join(marked, rated["id"] == marked["doc_id"])), "cutoffs").withColumnRenamed("stratum", "of")
-    judged = counted.join(chosen, stratum.eqNullSafe(chosen["of"]), "left")
+    judged = counted.join(chosen, F.col("stratum").eqNullSafe(F.col("of")), "left")
     fails = reduce(lambda a, b: a | b, [F.coalesce(rate > F.col(f"cut_{rule}"), F.lit(False)) for rule, rate in rates().items()])
     return judged.withColumn("kept", ~F.col("base_failed") & ~fails).drop("of", *[f"cut_{rule}" for rule in GRIDS])
 
 
 def passing(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, all columns as they are."""
-    return judge(docs, labels, **options).where("kept").select("row.*")
+    return judge(docs, labels, whole=True, **options).where("kept").select("row.*")
 
 
 _RATES = {

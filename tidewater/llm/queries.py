@@ -79,7 +79,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts and the verdict on each document; strata are the languages."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged.select("row.doc_id", *counts)
+    return judged.select(F.col("id").alias("doc_id"), *counts)
 
 
 @query()
