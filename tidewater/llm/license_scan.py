@@ -115,20 +115,22 @@ def rules() -> list[Rule]:
     found = [Rule(k, label, 0, p) for label, k, p in TEXTS]
     found += [Rule(p, label, 0, p) for p, label in BASE.items()]
     word = r"licen[cs]e"
+    under = r"(?:licensed|released|distributed|available) under"
+    terms = rf"(?:{under} (?:the )?)?"  # so that what names the license more closely contains a hint
     for family, keyword, name, versions in NAMES:
         for version in versions:
             label = f"{family}-{version.removesuffix(' 0').replace(' ', '-')}"
-            found.append(Rule(keyword, label, 1, rf"{name} {word}(?: agreement)? (?:v|version )?{version}(?: or later| only)?"))
-            found.append(Rule(keyword, label, 1, rf"{name} (?:v|version )?{version}(?: {word})?"))
-        found.append(Rule(keyword, family, 2, rf"(?:the )?{name} (?:style |software )?{word}"))
-        found.append(Rule(keyword, family, 3, rf"(?:licensed|released|distributed|available) under (?:the )?{name}(?! (?:style |software )?{word})"))
+            found.append(Rule(keyword, label, 1, rf"{terms}{name} {word}(?: agreement)? (?:v|version )?{version}(?: or later| only)?"))
+            found.append(Rule(keyword, label, 1, rf"{terms}{name} (?:v|version )?{version}(?: {word})?"))
+        found.append(Rule(keyword, family, 2, rf"{terms}{name} (?:style |software )?{word}"))
+        found.append(Rule(keyword, family, 3, rf"{under} (?:the )?{name}"))
         found.append(Rule("spdx", family, 1, rf"spdx license identifier {name}"))
     for elements, pattern in COMMONS:
         for keyword, name in (("cc", "cc"), ("creative", "creative commons")):
             for version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
                 label = f"cc-{elements}-{version.removesuffix(' 0').replace(' ', '-')}"
-                found.append(Rule(keyword, label, 1, rf"{name} {pattern}(?: {word})? {version}"))
-            found.append(Rule(keyword, f"cc-{elements}", 2, rf"{name} {pattern}(?: {word})?"))
+                found.append(Rule(keyword, label, 1, rf"{terms}{name} {pattern}(?: {word})? {version}"))
+            found.append(Rule(keyword, f"cc-{elements}", 2, rf"{terms}{name} {pattern}(?: {word})?"))
     found.append(Rule("licen", "unnamed", 3, rf"(?:under|see|accept) (?:the|this|a) {word}"))
     return found
 
@@ -238,3 +240,55 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.array_join(F.array_sort(base_labels), ",").alias("base_labels"), F.array_join(F.array_sort(labels), ",").alias("labels"),
         score.alias("score"),
     )
+
+
+def _sql() -> str:
+    """The scan in SQL. Its regular expressions can't look around, so words stand between two spaces each."""
+    quoted = [r._replace(pattern=r.pattern.replace(" ", "  ")) for r in rules()]
+    values = ", ".join(f"('{r.keyword}', '{r.label}', {r.priority}, '{r.pattern}')" for r in quoted)
+    base = " UNION ALL ".join(
+        f"SELECT n, i, '{label}' AS label FROM s WHERE {' AND '.join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(p.split(' ')))}"
+        for p, label in BASE.items()
+    )
+    strengths = "[" + ", ".join(map(str, STRENGTHS)) + "]"
+    return f"""
+WITH d AS (
+    SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '{GAP}'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT n, w, unnest(range(0, len(w))) AS i FROM d
+), b AS (
+    {base}
+), bs AS (
+    SELECT n, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM b GROUP BY n
+), g AS (
+    SELECT n, '  ' || array_to_string(w, '  ') || '  ' AS norm, ' ' || array_to_string(w, ' ') || ' ' AS one FROM d
+    WHERE regexp_matches(t, '{GATE}')
+), m AS (
+    SELECT n, label, priority, regexp_extract_all(norm, ' (?:' || pattern || ') ') AS found,
+           string_split_regex(norm, ' (?:' || pattern || ') ') AS gaps
+    FROM g JOIN (VALUES {values}) AS r(keyword, label, priority, pattern) ON contains(one, keyword)
+), p AS (
+    SELECT n, label, priority, list_sum(list_transform(gaps[:k], lambda x: len(x))) + coalesce(list_sum(list_transform(found[:k - 1], lambda x: len(x))), 0) AS b,
+           len(found[k]) AS size FROM (SELECT *, unnest(range(1, len(found) + 1)) AS k FROM m)
+), i AS (
+    SELECT DISTINCT n, label, priority, b, b + size AS e FROM p
+), k AS (
+    SELECT * FROM i WHERE NOT EXISTS (
+        SELECT 1 FROM i o WHERE o.n = i.n AND o.b <= i.b AND o.e >= i.e AND o.priority <= i.priority
+        AND (o.b, -o.e, o.priority, o.label) < (i.b, -i.e, i.priority, i.label))
+), a AS (
+    SELECT n, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, min(priority) AS priority
+    FROM (SELECT n, label, priority FROM k UNION ALL SELECT n, label, 0 FROM b) GROUP BY n
+), ba AS (
+    SELECT n, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM b GROUP BY n
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(ba.labels, '') AS base_labels, coalesce(a.labels, '') AS labels,
+       CAST(coalesce({strengths}[CASE WHEN n_base > 0 THEN 0 ELSE a.priority END + 1], 0) AS DOUBLE) AS score
+FROM d LEFT JOIN bs USING (n) LEFT JOIN a USING (n) LEFT JOIN ba USING (n)
+"""
+
+
+SQL = _sql()

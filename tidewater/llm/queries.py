@@ -55,14 +55,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(suffix_dedup.SQL)
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without passages that start earlier too."""
     found = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+@query(license_scan.SQL)
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licenses each document names."""
     return license_scan.scan(table(spark, sf_dir, "documents"))

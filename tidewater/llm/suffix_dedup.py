@@ -289,3 +289,27 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
     notes = copies.union(named)
     compared = keep(told(by_batch(notes, windows, LIST), WINDOWS, 8, True), "windows")
     return by_batch(notes.union(compared), clean, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+SQL = """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), b AS (
+    SELECT doc_id, n, unnest(range(0, n)) AS i, unnest(regexp_extract_all(h, '..')) AS byte FROM d
+), w AS (
+    SELECT doc_id, i, byte, i + 100 <= n AS fits,
+           md5(string_agg(byte, '') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 99 FOLLOWING)) AS s FROM b
+), f AS (
+    SELECT doc_id, i, byte, fits AND row_number() OVER (PARTITION BY fits, s ORDER BY doc_id, i) > 1 AS again FROM w
+), c AS (
+    SELECT doc_id, i, byte, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM f
+), e AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c
+), k AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+           coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS left_over FROM e GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(left_over, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
