@@ -229,6 +229,15 @@ def test_pages(spark):
     assert got[6][1] == "deep" and got[7][1] == "< 5 > 3" and len(got[8][1]) == 11 * 50_000 - 1
 
 
+def test_articles_of_readers_are_beside():
+    story = "<p>A long paragraph, with commas, and text enough to score.</p>" * 2
+    reader = "<p>I think, as a reader, that this is, well, really great.</p>"
+    page = f"""<div class="content-sidebar"><article class="post has-sidebar"><header class="entry-header"><h1>T</h1></header>{story}
+    <ul class="post-meta"><li>one</li></ul></article><div class="comments-area"><article class="comment-body">{reader}</article>
+    <ol class="comment-list"><li><article>{reader}</article></ol></div></div><header><p>page, header, with, commas, and more</p></header>"""
+    assert html_extraction.main_text(page).split("\n") == ["T", *["A long paragraph, with commas, and text enough to score."] * 2, "one"]
+
+
 def test_chats(spark):
     turns = [("user", "hi"), ("assistant", "hello"), ("user", "more"), (None, None)]
     rows = []

@@ -35,7 +35,7 @@ BESIDE = {
     "header", "masthead", "topbar", "comment", "comments", "commentlist", "discussion", "disqus", "replies", "respond", "cookie",
     "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter",
     "subscribe", "subscription", "signup", "login", "register", "share", "sharing", "social", "related", "recommended",
-    "recommendations", "widget", "widgets", "search", "searchbox", "pagination", "pager", "toolbar", "tags", "copyright", "legal",
+    "recommendations", "widget", "widgets", "search", "searchbox", "pagination", "pager", "toolbar", "copyright", "legal",
     "disclaimer", "skip", "hidden", "paywall", "form",
 }
 #: Parts that only say what kind of box it is.
@@ -44,6 +44,8 @@ BOX = {
     "inner", "item", "items", "left", "link", "links", "list", "outer", "panel", "posts", "right", "row", "section", "slot", "text",
     "thread", "top", "unit", "wrap", "wrapper", "zone",
 }
+#: Of those, what an article element may be.
+BESIDE_ARTICLES = {"ad", "ads", "advert", "advertisement", "comment", "comments", "promo", "related", "replies", "sponsored"}
 SPARING = {"no", "has", "with", "without", "non"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 #: Paragraphs shorter than this don't score; they are kept like others if their container is.
@@ -77,14 +79,15 @@ def _is_beside(name: str, attributes: str) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
         return True
-    if name in WHOLE or name in ("html", "body"):
+    if name in ("main", "html", "body"):
         return False
+    beside = BESIDE_ARTICLES if name == "article" else BESIDE
     for title in f"{found.get('class', '')} {found.get('id', '')}".split():
         parts = [p.lower() for p in _PART.findall(title)]
         while len(parts) > 1 and parts[-1] in BOX:
             parts.pop()
         own_header = parts[-1:] == ["header"] and {"article", "entry", "post", "story"} & set(parts)
-        if parts and parts[-1] in BESIDE and not SPARING & set(parts[:-1]) and not own_header:
+        if parts and parts[-1] in beside and not SPARING & set(parts[:-1]) and not own_header:
             return True
     return False
 
@@ -95,7 +98,7 @@ def parse(html: str, by_name: bool = True) -> Node:
     ``by_name``: classes, ids and roles count.
     """
     root = node = Node("html", None)
-    at, end = 0, len(html)
+    at, end, first = 0, len(html), True
     while at < end:
         token = _TOKEN.search(html, at)
         if token is None:
@@ -122,9 +125,10 @@ def parse(html: str, by_name: bool = True) -> Node:
         if name in WHOLE or name == "header":
             above = node
             while above is not None and above.name not in WHOLE:
-                if name in WHOLE and above.name not in DROPPED:  # a box around an article isn't beside it
-                    above.beside = False
+                if first and name in WHOLE and not new.beside and above.name not in DROPPED:
+                    above.beside = False  # a box around the article isn't beside it
                 above = above.parent
+            first &= name not in WHOLE
             new.beside |= name == "header" and above is None  # the page's header, not an article's
         node.children.append(new)
         if name in RAW:
