@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import keep
@@ -21,10 +20,9 @@ SIMILARITY = 75
 #: A signature has CHUNKS * WIDTH minhashes of 32 bits.
 CHUNKS, WIDTH = 4, 6
 #: Errors allowed in a chunk. Pairs that differ in fewer than CHUNKS * (ERRORS + 1) = 16 of the 24
-#: minhashes have, by pigeonhole, a chunk with no more than this.
+#: minhashes have, by pigeonhole, a chunk with no more than this. A pair whose similarity is 0.75
+#: exactly differs in more with a probability of 2e-5.
 ERRORS = 3
-#: A pair whose similarity is 0.75 exactly differs in more with a probability of 2e-5.
-MOST_DIFFERENT = CHUNKS * (ERRORS + 1) - 1
 POSITIONS = CHUNKS * WIDTH
 #: Words whose hashes a task remembers, and shingles hashed at once; they bound memory only.
 REMEMBERED, BLOCK = 200_000, 1 << 15
@@ -89,15 +87,19 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(text.as_py()).tobytes() for text in batch.column(1).cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sets = [shingles(text.as_py()).view(np.int64) for text in part.column(1).cast(pa.binary())]
+            offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            hashes = pa.ListArray.from_arrays(offsets, np.concatenate(sets) if sets else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([part.column(0), hashes], ["id", "hashes"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
         for left, right in zip(batch.column(2), batch.column(3), strict=True):
-            a, b = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
+            a, b = (x.values.to_numpy().view(np.uint64) for x in (left, right))
             small, large = (a, b) if len(a) < len(b) else (b, a)
             at = np.minimum(np.searchsorted(large, small), len(large) - 1)
             both = int(np.count_nonzero(large[at] == small))
@@ -125,49 +127,85 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.explode(F.array(*keys)).alias("key"))
 
 
-def _different(left: str, right: str):
-    return reduce(lambda x, y: x + y, [(F.get(left, F.lit(i)) != F.get(right, F.lit(i))).cast("int") for i in range(POSITIONS)])
+def _between(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, ca, cb, shared``: pairs of different components among which all links between them are.
+
+    Shingles are ordered by the number of open documents that hold them. From the first one that two
+    sets of m and n shingles have in common, each must go on long enough for a link, which needs
+    0.75 / 1.75 * (m + n) in common; so that first one stands among the first quarter of either, and
+    among the first seventh if they are of a size. A passage that very many documents share comes
+    last in that order. Components meet first, members of those that do after that, so a large
+    component is not paired with itself.
+    """
+    # a document whose id repeats may have several sets
+    named = sets.withColumn("set", F.xxhash64("hashes"))
+    held = named.join(open_, "id").select("id", "set", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
+    held = keep(held, "held")
+    counts = held.groupBy("h").agg(F.count("*").alias("holders"), F.min("component").alias("x"), F.max("component").alias("y"))
+    order = Window.partitionBy("id", "set").orderBy("holders", "h")
+    ranked = held.join(counts, "h").withColumn("at", F.row_number().over(order))
+    quarter = F.col("at") <= F.col("n") - F.ceil(SIMILARITY * F.col("n") / 100) + 1
+    left = (F.col("n") - F.col("at") + 1).alias("left")
+    first = keep(ranked.where(quarter & (F.col("x") < F.col("y"))).select("h", "id", "component", "n", left), "first-shingles")
+
+    def long_enough(left_a: str, left_b: str, size_a: str, size_b: str) -> Column:
+        return (100 + SIMILARITY) * F.least(left_a, left_b) >= SIMILARITY * (F.col(size_a) + F.col(size_b))
+
+    meeting = keep(first.groupBy("h", "component").agg(F.max("left").alias("left"), F.min("n").alias("n")), "meeting")
+    one, other = meeting.toDF("h", "ca", "most_a", "least_a"), meeting.toDF("h", "cb", "most_b", "least_b")
+    pairs = one.join(other, "h").where((F.col("ca") < F.col("cb")) & long_enough("most_a", "most_b", "least_a", "least_b"))
+    a = first.select("h", *[F.col(c).alias(n) for c, n in (("id", "a"), ("component", "ca"), ("n", "na"), ("left", "la"))])
+    b = first.select("h", *[F.col(c).alias(n) for c, n in (("id", "b"), ("component", "cb"), ("n", "nb"), ("left", "lb"))])
+    sizes = 100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")
+    some = pairs.join(a, ["h", "ca"]).where(long_enough("la", "most_b", "na", "least_b")).select("h", "ca", "cb", "a", "na", "la")
+    met = some.join(b, ["h", "cb"]).where(sizes & long_enough("la", "lb", "na", "nb"))
+    return keep(met.groupBy("a", "b", "ca", "cb").agg(F.count("*").alias("shared")), "between")
 
 
 def similar_pairs(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Links between documents of different sets that suffice for the components, and those.
 
-    1. Keys are counted; those of a single document go. Every other member of a key is paired with
-       the smallest one, so a key of any size gives a pair per member, not its square.
+    1. Keys are counted; those of a single document go. A document is as central as its keys have
+       members. Every other member of a key points to the most central one, and each document is
+       paired with that which most of its keys point to: no more pairs than documents.
     2. Such pairs are confirmed on the full sets, which gives components.
-    3. A link may be left only between members of a key in different components. Those pairs are
-       made by a join on the key that keeps what the signatures allow; of the pairs between the same
-       two components the closest is confirmed first, the others only if that was no link.
+    3. A link can be left only between members of a key in different components. Those documents are
+       open; :func:`_between` pairs them. Of the pairs between two components that with most in
+       common is confirmed first, the others only if it was no link.
     """
-    shared = _keys(nodes).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").drop("most")
+    shared = _keys(nodes).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = keep(_keys(nodes).join(shared, "key"), "members")
-    signed = nodes.select("id", "signature", "n_shingles")
-    left, right = signed.toDF("a", "sa", "na"), signed.toDF("b", "sb", "nb")
-    stars = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    # sizes alone can rule a pair out: the smaller set is at most the intersection
-    near = (_different("sa", "sb") <= MOST_DIFFERENT) & (100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb"))
-    stars = keep(stars.join(left, "a").join(right, "b").where(near).select("a", "b"), "stars")
+    central = members.groupBy("id").agg(F.sum("n").alias("central"))
+    hubs = members.join(central, "id").groupBy("key").agg(F.max(F.struct("central", (-F.col("id")).alias("hub"))).alias("h"))
+    pointed = members.join(hubs.select("key", (-F.col("h.hub")).alias("hub")), "key").where("id <> hub")
+    pointed = pointed.groupBy("id", "hub").agg(F.count("*").alias("keys"))
+    stars = pointed.groupBy(F.col("id").alias("b")).agg(F.max(F.struct("keys", (-F.col("hub")).alias("a"))).alias("m"))
+    stars = keep(stars.select((-F.col("m.a")).alias("a"), "b"), "stars")
     involved = members.select("id").distinct()
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sets = keep(texts.join(involved, "id", "left_semi").mapInArrow(_sets, "id long, hashes binary").distinct(), "sets")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    sets = keep(texts.join(involved, "id", "left_semi").mapInArrow(_sets, "id long, hashes array<long>").distinct(), "sets")
     links = _links(stars, sets)
     found = components(links)
 
     placed = members.select("key", "id").join(found.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     placed = keep(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_ = keep(placed.join(mixed, "key").join(signed, "id"), "open")
-    a = open_.select("key", *[F.col(c).alias(n) for c, n in (("id", "a"), ("component", "ca"), ("signature", "sa"), ("n_shingles", "na"))])
-    b = open_.select("key", *[F.col(c).alias(n) for c, n in (("id", "b"), ("component", "cb"), ("signature", "sb"), ("n_shingles", "nb"))])
-    between = a.join(b, (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & near)
-    between = keep(between.select("a", "b", "ca", "cb", _different("sa", "sb").alias("different")).distinct(), "between")
-    closest = between.groupBy("ca", "cb").agg(F.min(F.struct("different", "a", "b")).alias("c")).select("c.a", "c.b")
-    links = links.union(_links(closest, sets))
-    found = components(links)
-    of_a, of_b = found.toDF("a", "x"), found.toDF("b", "y")
-    rest = between.join(of_a, "a", "left").join(of_b, "b", "left").where(F.coalesce("x", "a") != F.coalesce("y", "b"))
-    links = links.union(_links(rest.select("a", "b"), sets))
-    return links, components(links)
+    open_ = keep(placed.join(mixed, "key").select("id", "component").distinct(), "open")
+    between = _between(open_, sets)
+    closest = between.groupBy("ca", "cb").agg(F.max(F.struct("shared", "a", "b")).alias("c")).select("c.a", "c.b")
+    for last in (False, True):
+        more = _links(closest, sets)
+        if not more.isEmpty():
+            links = links.union(more)
+            found = components(links)
+        if last:
+            break
+        of_a, of_b = found.toDF("a", "x"), found.toDF("b", "y")
+        rest = between.join(closest, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+        closest = keep(rest.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b"), "rest")
+        if closest.isEmpty():
+            break
+    return links, found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
