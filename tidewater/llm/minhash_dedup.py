@@ -239,3 +239,23 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs`` that :func:`near_duplicates` keeps, all columns as they are."""
     gone = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs[f"`{id_col}`"] == gone["__gone"], "left_anti")
+
+
+SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+        list_distinct(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), h AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS h FROM s
+), l AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM h a JOIN h b ON a.h = b.h AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), r AS (
+    SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b
+)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(b) AS component_id, s.doc_id = min(b) AS kept
+FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s
+"""

@@ -43,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query()
+@query(minhash_dedup.SQL)
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near duplicates of each document."""
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
