@@ -23,6 +23,8 @@ GRIDS = {
 FALSE_REJECTION = 0.05
 #: ... except with this probability, over all strata, rules and cutoffs that are tried.
 ERROR = 0.05
+#: A good document that is rejected costs as much as so many bad ones that are kept.
+PRICE = 5
 #: Terms of a binomial tail that are added one by one; a bound stands for those below.
 TERMS = 10_000
 
@@ -127,7 +129,8 @@ def cutoffs(rated: DataFrame, limit: float = FALSE_REJECTION, error: float = ERR
     base rules. Each rule gets an equal part of the limit. A cutoff is safe if the exact binomial
     test rejects, at the error divided by the number of all tests made, that it fails more than that
     part of the stratum's good documents. Of the safe ones the rule takes that which fails most bad
-    documents, the highest of those: nothing is rejected without need.
+    documents, less PRICE for each good one, the highest of those; none if the price is higher than
+    the gain. So nothing is rejected without need.
     """
     part = limit / len(GRIDS)
     tried = [(rule, cut) for rule, grid in GRIDS.items() for cut in grid]
@@ -144,9 +147,14 @@ def cutoffs(rated: DataFrame, limit: float = FALSE_REJECTION, error: float = ERR
     # a row per stratum is left here, so counting them is one short pass
     tests = F.count("*").over(Window.partitionBy()) * len(tried)
     tested = counted.select("stratum", "n", tests.alias("tests"), F.explode(F.array(*entries)).alias("e")).select("stratum", "n", "tests", "e.*")
-    safe = tested.where((F.col("caught") > 0) & (binomial_tail(F.col("n"), F.col("k"), part) * F.col("tests") <= error))
-    best = F.max_by("cut", F.struct("caught", "cut"))
-    return safe.groupBy("stratum").agg(*[F.max_by(F.when(F.col("rule") == rule, F.col("cut")), F.when(F.col("rule") == rule, F.struct("caught", "cut"))).alias(f"cut_{rule}") for rule in GRIDS])
+    tested = tested.withColumn("gain", F.col("caught") - PRICE * F.col("k"))
+    safe = tested.where((F.col("gain") > 0) & (binomial_tail(F.col("n"), F.col("k"), part) * F.col("tests") <= error))
+
+    def best(rule: str) -> Column:
+        own = F.col("rule") == rule
+        return F.max_by(F.when(own, F.col("cut")), F.when(own, F.struct("gain", "cut"))).alias(f"cut_{rule}")
+
+    return safe.groupBy("stratum").agg(*[best(rule) for rule in GRIDS])
 
 
 def judge(
@@ -223,8 +231,8 @@ WITH d AS (
                  FROM unnest(range(0, k + 1)) AS z(j)) AS tail
     FROM v WHERE k < n * {_PART}
 ), s AS (
-    SELECT lang, rule, arg_max(cut, (caught, cut)) AS cut FROM q
-    WHERE caught > 0 AND tail * {_TESTS} * (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM v) <= {ERROR} GROUP BY ALL
+    SELECT lang, rule, arg_max(cut, (caught - {PRICE} * k, cut)) AS cut FROM q
+    WHERE caught > {PRICE} * k AND tail * {_TESTS} * (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM v) <= {ERROR} GROUP BY ALL
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (SELECT 1 FROM e JOIN s ON e.rule = s.rule AND e.lang IS NOT DISTINCT FROM s.lang
