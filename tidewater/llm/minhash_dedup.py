@@ -27,6 +27,9 @@ POSITIONS = CHUNKS * WIDTH
 #: Words whose hashes a task remembers, and shingles hashed at once; they bound memory only.
 REMEMBERED, BLOCK = 200_000, 1 << 15
 
+#: Rounds in which components that meet are tried by one pair; what is left is tried in full.
+ROUNDS = 2
+
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _PLACE = _RANDOM.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _RANDOM.integers(1, 1 << 63, POSITIONS, dtype=np.uint64)
@@ -127,15 +130,14 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.explode(F.array(*keys)).alias("key"))
 
 
-def _between(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, ca, cb, shared``: pairs of different components among which all links between them are.
+def _first_shingles(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """``h, id, component, n, left``: the shingles by which links between open components are found.
 
     Shingles are ordered by the number of open documents that hold them. From the first one that two
     sets of m and n shingles have in common, each must go on long enough for a link, which needs
     0.75 / 1.75 * (m + n) in common; so that first one stands among the first quarter of either, and
     among the first seventh if they are of a size. A passage that very many documents share comes
-    last in that order. Components meet first, members of those that do after that, so a large
-    component is not paired with itself.
+    last in that order.
     """
     # a document whose id repeats may have several sets
     named = sets.withColumn("set", F.xxhash64("hashes"))
@@ -146,22 +148,42 @@ def _between(open_: DataFrame, sets: DataFrame) -> DataFrame:
     ranked = held.join(counts, "h").withColumn("at", F.row_number().over(order))
     quarter = F.col("at") <= F.col("n") - F.ceil(SIMILARITY * F.col("n") / 100) + 1
     left = (F.col("n") - F.col("at") + 1).alias("left")
-    first = keep(ranked.where(quarter & (F.col("x") < F.col("y"))).select("h", "id", "component", "n", left), "first-shingles")
+    return keep(ranked.where(quarter & (F.col("x") < F.col("y"))).select("h", "id", "component", "n", left), "first-shingles")
+
+
+def _long_enough(left_a: str, left_b: str, size_a: str, size_b: str) -> Column:
+    return (100 + SIMILARITY) * F.least(left_a, left_b) >= SIMILARITY * (F.col(size_a) + F.col(size_b))
+
+
+def _meetings(first: DataFrame) -> DataFrame:
+    """Pairs of components that a link may join, by shingle, and the member of either with most to come."""
+    most = F.max(F.struct("left", "id"))
+    meeting = keep(first.groupBy("h", "component").agg(most.alias("m"), F.min("n").alias("n")), "meeting")
+    meeting = meeting.select("h", "component", F.col("m.left").alias("left"), F.col("m.id").alias("id"), "n")
+    one, other = meeting.toDF("h", "ca", "most_a", "a", "least_a"), meeting.toDF("h", "cb", "most_b", "b", "least_b")
+    return one.join(other, "h").where((F.col("ca") < F.col("cb")) & _long_enough("most_a", "most_b", "least_a", "least_b"))
 
-    def long_enough(left_a: str, left_b: str, size_a: str, size_b: str) -> Column:
-        return (100 + SIMILARITY) * F.least(left_a, left_b) >= SIMILARITY * (F.col(size_a) + F.col(size_b))
 
-    meeting = keep(first.groupBy("h", "component").agg(F.max("left").alias("left"), F.min("n").alias("n")), "meeting")
-    one, other = meeting.toDF("h", "ca", "most_a", "least_a"), meeting.toDF("h", "cb", "most_b", "least_b")
-    pairs = one.join(other, "h").where((F.col("ca") < F.col("cb")) & long_enough("most_a", "most_b", "least_a", "least_b"))
+def _between(first: DataFrame) -> DataFrame:
+    """``a, b, ca, cb, shared``: pairs of different components among which all links between them are.
+
+    Components meet first, members of those that do after that, so a large component is not paired
+    with itself.
+    """
+    pairs = _meetings(first).drop("a", "b")
     a = first.select("h", *[F.col(c).alias(n) for c, n in (("id", "a"), ("component", "ca"), ("n", "na"), ("left", "la"))])
     b = first.select("h", *[F.col(c).alias(n) for c, n in (("id", "b"), ("component", "cb"), ("n", "nb"), ("left", "lb"))])
     sizes = 100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")
-    some = pairs.join(a, ["h", "ca"]).where(long_enough("la", "most_b", "na", "least_b")).select("h", "ca", "cb", "a", "na", "la")
-    met = some.join(b, ["h", "cb"]).where(sizes & long_enough("la", "lb", "na", "nb"))
+    some = pairs.join(a, ["h", "ca"]).where(_long_enough("la", "most_b", "na", "least_b")).select("h", "ca", "cb", "a", "na", "la")
+    met = some.join(b, ["h", "cb"]).where(sizes & _long_enough("la", "lb", "na", "nb"))
     return keep(met.groupBy("a", "b", "ca", "cb").agg(F.count("*").alias("shared")), "between")
 
 
+def _closest(pairs: DataFrame, by: str) -> DataFrame:
+    """One pair for each two components."""
+    return pairs.groupBy("ca", "cb").agg(F.max(F.struct(by, "a", "b")).alias("c")).select("c.a", "c.b")
+
+
 def similar_pairs(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Links between documents of different sets that suffice for the components, and those.
 
@@ -170,8 +192,10 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str)
        paired with that which most of its keys point to: no more pairs than documents.
     2. Such pairs are confirmed on the full sets, which gives components.
     3. A link can be left only between members of a key in different components. Those documents are
-       open; :func:`_between` pairs them. Of the pairs between two components that with most in
-       common is confirmed first, the others only if it was no link.
+       open. Components that meet by a rare shingle are first tried by one pair of members, so that
+       two parts of a large group become one before members meet.
+    4. All pairs that may be links between the components left are made; of those between the same
+       two, that with most in common is confirmed first, the others only if it was no link.
     """
     shared = _keys(nodes).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = keep(_keys(nodes).join(shared, "key"), "members")
@@ -191,8 +215,18 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str)
     placed = keep(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     open_ = keep(placed.join(mixed, "key").select("id", "component").distinct(), "open")
-    between = _between(open_, sets)
-    closest = between.groupBy("ca", "cb").agg(F.max(F.struct("shared", "a", "b")).alias("c")).select("c.a", "c.b")
+    first = _first_shingles(open_, sets)
+    for _ in range(ROUNDS):
+        met = _meetings(first).withColumn("shared", F.least("most_a", "most_b"))
+        more = _links(_closest(met, "shared"), sets)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        found = components(links)
+        moved = first.drop("component").join(found.toDF("id", "component"), "id", "left")
+        first = keep(moved.select("h", "id", F.coalesce("component", "id").alias("component"), "n", "left"), "first-shingles")
+    between = _between(first)
+    closest = _closest(between, "shared")
     for last in (False, True):
         more = _links(closest, sets)
         if not more.isEmpty():
