@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import re
+
 import brute
 import pytest
 import sentencepiece
@@ -151,6 +153,72 @@ def test_licenses(docs, spark):
     assert {r.doc_id: tuple(r)[1:] for r in license_scan.scan(rows).collect()} == {i: brute.licenses(t) for i, t in enumerate(texts)}
 
 
+def every_license(text):
+    """(labels, score) with every rule tried, whatever words the text holds."""
+    norm = f" {' '.join(w for w in re.split(license_scan.GAP, text.lower()) if w)} "
+    found = {(m.start(), -m.end(), r.priority, r.label) for r in license_scan.rules() for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", norm)}
+    left = [d for d in found if not any(o < d and o[0] <= d[0] and o[1] <= d[1] and o[2] <= d[2] for o in found)]
+    return ",".join(sorted({d[3] for d in left})), license_scan.STRENGTHS[min(d[2] for d in left)] if left else 0.0
+
+
+def alternatives(pattern):
+    """All texts a rule's pattern matches: it has no more than groups, sets of characters and question marks."""
+    at = 0
+
+    def choice():
+        nonlocal at
+        out = sequence()
+        while pattern[at : at + 1] == "|":
+            at += 1
+            out = out | sequence()
+        return out
+
+    def sequence():
+        nonlocal at
+        out = {""}
+        while at < len(pattern) and pattern[at] not in "|)":
+            if pattern.startswith("(?:", at):
+                at += 3
+                item = choice()
+                at += 1
+            elif pattern[at] == "[":
+                end = pattern.index("]", at)
+                item, at = set(pattern[at + 1 : end]), end + 1
+            else:
+                item, at = {pattern[at]}, at + 1
+            if pattern[at : at + 1] == "?":
+                item, at = item | {""}, at + 1
+            out = {a + b for a in out for b in item}
+        return out
+
+    return choice()
+
+
+def test_license_rules_have_no_gate_of_their_own(spark):
+    texts = [
+        "Released under Apache 2.0", "BSD 3-Clause", "released under MIT", "CDDL 1.0", "WTFPL 2", "CC0 1.0", "Mozilla Public 2.0", "CeCILL 2.1",
+        "confidential and proprietary", "the Expat License", "X11 licence", "do what the fuck you want to public license",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "commit 3, permit licenses",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee", "PHP\n3.01, _ruby_license_",
+    ]
+    for rule in license_scan.rules():
+        met = sorted(alternatives(rule.pattern))
+        assert all(re.fullmatch(rule.pattern, m) for m in met)
+        texts += [m.replace(" ", ", ").title() for m in met[:: max(1, len(met) // 20)]] + [min(met, key=len), max(met, key=len)]
+    texts = sorted(set(texts))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {texts[r.doc_id]: (r.labels, r.score) for r in license_scan.scan(rows).collect()}
+    assert got == {t: every_license(t) for t in texts}
+    assert got["BSD 3-Clause"] == ("bsd-3-clause", 0.9) and got["the Expat License"][0] == "mit" and got["commit 3, permit licenses"][0] == ""
+
+
+def test_every_license_text_passes_the_gate():
+    gate = re.compile(license_scan.GATE)
+    for rule in license_scan.rules():
+        part = re.compile(f" (?:{rule.part}) ")
+        assert all(gate.search(m) and part.search(f" {m} ") for m in alternatives(rule.pattern))
+
+
 def test_rules_are_ordered_and_many():
     rules = license_scan.rules()
     assert len(rules) > 300 and {r.priority for r in rules} == {0, 1, 2, 3}

@@ -14,8 +14,8 @@ GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: A text without any of these is not scanned further.
-GATE = rf"(?i)licen[cs]|lizenz|copyleft|copyright|warrant|redistribut|spdx|rights|public{GAP}domain|creative{GAP}commons|cc{GAP}(by|0|zero)|gpl"
+#: What the SQL asks of a text before its rules. It is narrower than the rules, so the scan asks for GATE.
+SQL_GATE = rf"(?i)licen[cs]|lizenz|copyleft|copyright|warrant|redistribut|spdx|rights|public{GAP}domain|creative{GAP}commons|cc{GAP}(by|0|zero)|gpl"
 
 #: Strength of a detection by the kind of its rule, strongest first; its place is the rule's priority.
 STRENGTHS = (1.0, 0.9, 0.7, 0.4)
@@ -97,13 +97,18 @@ TEXTS = (
     ("proprietary", "all rights", r"all rights reserved"),
     ("proprietary", "confidential", r"confidential and proprietary"),
 )
+LICENSE = r"licen[cs]e"
+UNDER = r"(?:licensed|released|distributed|available) under"
+SPDX = "spdx license identifier"
+HINT = rf"(?:under|see|accept) (?:the|this|a) {LICENSE}"
 
 
 class Rule(NamedTuple):
-    keyword: str  # the text must hold it before the pattern is tried
+    keyword: str  # the SQL tries the pattern where the text holds it; the scan goes by ``part``
     label: str
     priority: int  # 0 wins
     pattern: str
+    part: str  # a pattern whose words lie in every match
 
 
 def rules() -> list[Rule]:
@@ -112,42 +117,62 @@ def rules() -> list[Rule]:
     A family gives a rule for each of its versions with the word "license", one for each short form,
     and one without a version.
     """
-    found = [Rule(k, label, 0, p) for label, k, p in TEXTS]
-    found += [Rule(p, label, 0, p) for p, label in BASE.items()]
-    word = r"licen[cs]e"
-    under = r"(?:licensed|released|distributed|available) under"
+    found = [Rule(k, label, 0, p, p) for label, k, p in TEXTS]
+    found += [Rule(p, label, 0, p, p) for p, label in BASE.items()]
+    word, under = LICENSE, UNDER
     terms = rf"(?:{under} (?:the )?)?"  # so that what names the license more closely contains a hint
     for family, keyword, name, versions in NAMES:
         for version in versions:
             label = f"{family}-{version.removesuffix(' 0').replace(' ', '-')}"
-            found.append(Rule(keyword, label, 1, rf"{terms}{name} {word}(?: agreement)? (?:v|version )?{version}(?: or later| only)?"))
-            found.append(Rule(keyword, label, 1, rf"{terms}{name} (?:v|version )?{version}(?: {word})?"))
-        found.append(Rule(keyword, family, 2, rf"{terms}{name} (?:style |software )?{word}"))
-        found.append(Rule(keyword, family, 3, rf"{under} (?:the )?{name}"))
-        found.append(Rule("spdx", family, 1, rf"spdx license identifier {name}"))
+            found.append(Rule(keyword, label, 1, rf"{terms}{name} {word}(?: agreement)? (?:v|version )?{version}(?: or later| only)?", name))
+            found.append(Rule(keyword, label, 1, rf"{terms}{name} (?:v|version )?{version}(?: {word})?", name))
+        found.append(Rule(keyword, family, 2, rf"{terms}{name} (?:style |software )?{word}", name))
+        found.append(Rule(keyword, family, 3, rf"{under} (?:the )?{name}", name))
+        found.append(Rule("spdx", family, 1, rf"{SPDX} {name}", SPDX))
     for elements, pattern in COMMONS:
         for keyword, name in (("cc", "cc"), ("creative", "creative commons")):
             for version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
                 label = f"cc-{elements}-{version.removesuffix(' 0').replace(' ', '-')}"
-                found.append(Rule(keyword, label, 1, rf"{terms}{name} {pattern}(?: {word})? {version}"))
-            found.append(Rule(keyword, f"cc-{elements}", 2, rf"{terms}{name} {pattern}(?: {word})?"))
-    found.append(Rule("licen", "unnamed", 3, rf"(?:under|see|accept) (?:the|this|a) {word}"))
+                found.append(Rule(keyword, label, 1, rf"{terms}{name} {pattern}(?: {word})? {version}", name))
+            found.append(Rule(keyword, f"cc-{elements}", 2, rf"{terms}{name} {pattern}(?: {word})?", name))
+    found.append(Rule("licen", "unnamed", 3, HINT, HINT))
     return found
 
 
+def _gate() -> str:
+    """A pattern that every text with a match of a rule meets: the rules without what they allow but don't ask for."""
+    tails = [rf"(?:style |software )?{LICENSE}"]
+    names = []
+    for _, _, name, versions in NAMES:
+        first = sorted({v.split(" ")[0] for v in versions})
+        ends = [*tails, rf"(?:v|version )?(?:{'|'.join(first)})"] if first else tails
+        names.append(rf"{name} (?:{'|'.join(ends)})")
+    commons = rf"(?:cc|creative commons) (?:{'|'.join(pattern for _, pattern in COMMONS)})"
+    named = rf"{UNDER} (?:the )?(?:{'|'.join(name for _, _, name, _ in NAMES)})"
+    parts = [*names, commons, named, SPDX, HINT, *BASE, *[pattern for _, _, pattern in TEXTS]]
+    return f"(?<!{WORD[:-1]})(?i:" + "|".join(parts).replace(" ", f"(?:{GAP}+)") + ")"
+
+
+#: A text that doesn't meet this is not scanned further.
+GATE = _gate()
+
+
 def _let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def detections(norm: Column) -> Column:
-    """All matches of all rules whose keyword the normalised text holds: ``start, minus_end, priority, label``.
+    """All matches of all rules in the normalised text: ``start, minus_end, priority, label``.
 
-    The text is padded with a space at either end, so words match as wholes. A match's place is the
+    Rules are tried where the part that all of their matches hold is met; it is looked for once. The text is padded with a space at either end, so words match as wholes. A match's place is the
     length of all that stands before it: the pieces between the matches, and the matches.
     """
-    table = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(Rule._fields, rule, strict=True)]) for rule in rules()])
-    tried = F.filter(table, lambda r: F.contains(norm, r["keyword"]))
+    parts: dict[str, list[Column]] = {}
+    for r in rules():
+        parts.setdefault(r.part, []).append(F.struct(*[F.lit(getattr(r, f)).alias(f) for f in ("label", "priority", "pattern")]))
+    table = F.array(*[F.struct(F.lit(f" (?:{p}) ").alias("part"), F.array(*of).alias("rules")) for p, of in parts.items()])
+    tried = F.flatten(F.transform(F.filter(table, lambda p: F.regexp_like(norm, p["part"])), lambda p: p["rules"]))
 
     def matches(rule: Column) -> Column:
         pattern = F.concat(F.lit("(?<= )(?:"), rule["pattern"], F.lit(")(?= )"))
@@ -197,8 +222,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` for each row.
 
     Words are found in the whole text, lower-cased in A-Z. Base phrases are places where their words
-    stand consecutively; overlaps count. The rules are tried where the text passes GATE and then
-    the rule's own keyword. Of detections that overlap, one that lies within another of the same or
+    stand consecutively; overlaps count. Every rule is tried on every text that can match it. Of detections that overlap, one that lies within another of the same or
     a higher priority is suppressed; base labels always stay. The score is the strength of the
     strongest detection left, 0 without any.
 
@@ -264,7 +288,7 @@ WITH d AS (
     SELECT n, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM b GROUP BY n
 ), g AS (
     SELECT n, '  ' || array_to_string(w, '  ') || '  ' AS norm, ' ' || array_to_string(w, ' ') || ' ' AS one FROM d
-    WHERE regexp_matches(t, '{GATE}')
+    WHERE regexp_matches(t, '{SQL_GATE}')
 ), m AS (
     SELECT n, label, priority, regexp_extract_all(norm, ' (?:' || pattern || ') ') AS found,
            string_split_regex(norm, ' (?:' || pattern || ') ') AS gaps
