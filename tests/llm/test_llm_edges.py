@@ -306,6 +306,28 @@ def test_articles_of_readers_are_beside():
     assert html_extraction.main_text(page).split("\n") == ["T", *["A long paragraph, with commas, and text enough to score."] * 2, "one"]
 
 
+def test_siblings_of_few_points_stay():
+    lead = "A lead, " + "of one hundred and fifty characters or so, that stands in a box of its own before the story begins and "[:140].replace(",", "")
+    story = "<p>" + "A long paragraph, with commas, and, of course, text enough to score well. " * 4 + "</p>"
+    links = "<a href=x>Home of the site</a> <a href=y>All about the authors</a>"
+    page = f"""<body><div class=bar>{links}</div><div class=lead><p>{lead}</p></div><div class=wrap><div class=story>{story * 10}</div></div>
+    Bare <b>text</b> between, <a href=x>one link</a> in a longer sentence of it.<ul><li>an item<li>another</ul>
+    <div><p>End.</p></div><div class=comments><p>I think, as a reader, that this is, well, really great.</p></div>{links}</body>"""
+    lines = html_extraction.main_text(page).split("\n")
+    assert lines[0] == lead.strip() and len(lines) == 15
+    assert lines[11:] == ["Bare text between, one link in a longer sentence of it.", "an item", "another", "End."]
+
+
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_lists_of_links_in_an_article_stay(name):
+    story = "<p>A long paragraph, with commas, and text enough to score.</p>" * 3
+    links = "<li><a href=x>A source of it</a><li><a href=y>Another one</a>"
+    page = f"""<{name}><ul class=post-tags>{links}</ul><div role=navigation>{links}</div><ul class=menu>{links}</ul><nav>{links}</nav>{story}
+    <h2>References</h2><ol class=references>{links}</ol><section><h2>Further reading</h2><ul>{links}</ul></section></{name}><ul>{links}</ul>"""
+    both = ["A source of it", "Another one"]
+    assert html_extraction.main_text(page).split("\n")[3:] == ["References", *both, "Further reading", *both]
+
+
 def test_chats(spark):
     turns = [("user", "hi"), ("assistant", "hello"), ("user", "more"), (None, None)]
     rows = []

@@ -46,8 +46,12 @@ BOX = {
 }
 #: Of those, what an article element may be.
 BESIDE_ARTICLES = {"ad", "ads", "advert", "advertisement", "comment", "comments", "promo", "related", "replies", "sponsored"}
+#: Last parts that make a list of links within an article a menu.
+MENUS = {"archives", "blogroll", "categories", "pages", "tabs", "tagcloud", "tags", "toc"}
 SPARING = {"no", "has", "with", "without", "non"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
+#: A sibling of the best container belongs to it if less of its text is in links.
+LINKED = 0.25
 #: Paragraphs shorter than this don't score; they are kept like others if their container is.
 SCORED = 25
 
@@ -57,10 +61,10 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("beside", "children", "linked", "name", "parent", "score", "size")
+    __slots__ = ("beside", "children", "linked", "menu", "name", "parent", "score", "size")
 
-    def __init__(self, name: str, parent: Node | None, beside: bool = False):
-        self.name, self.parent, self.beside = name, parent, beside
+    def __init__(self, name: str, parent: Node | None, beside: bool = False, menu: bool = False):
+        self.name, self.parent, self.beside, self.menu = name, parent, beside, menu
         self.children: list[Node | str] = []
         self.score, self.size, self.linked = 0.0, 0, 0
 
@@ -68,13 +72,31 @@ class Node:
         return self.linked / self.size if self.size else 0.0
 
 
+def _attributes(attributes: str) -> dict[str, str]:
+    return {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
+
+
+def _titles(found: dict[str, str]) -> Iterator[list[str]]:
+    """The parts of each class name and id, without those last ones that say what kind of box it is."""
+    for title in f"{found.get('class', '')} {found.get('id', '')}".split():
+        parts = [p.lower() for p in _PART.findall(title)]
+        while len(parts) > 1 and parts[-1] in BOX:
+            parts.pop()
+        yield parts
+
+
+def _is_menu(attributes: str) -> bool:
+    """Whether an element's classes or id say that its links are a menu."""
+    return bool(attributes.strip()) and any(parts[-1:] and parts[-1] in MENUS for parts in _titles(_attributes(attributes)))
+
+
 def _is_beside(name: str, attributes: str) -> bool:
     """Whether an element's name or attributes say that it is not part of the article."""
     if name in DROPPED:
         return True
     if not attributes.strip():
         return False
-    found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
+    found = _attributes(attributes)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or found.get("role", "").lower() in ROLES:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
@@ -82,10 +104,7 @@ def _is_beside(name: str, attributes: str) -> bool:
     if name in ("main", "html", "body"):
         return False
     beside = BESIDE_ARTICLES if name == "article" else BESIDE
-    for title in f"{found.get('class', '')} {found.get('id', '')}".split():
-        parts = [p.lower() for p in _PART.findall(title)]
-        while len(parts) > 1 and parts[-1] in BOX:
-            parts.pop()
+    for parts in _titles(found):
         own_header = parts[-1:] == ["header"] and {"article", "entry", "post", "story"} & set(parts)
         if parts and parts[-1] in beside and not SPARING & set(parts[:-1]) and not own_header:
             return True
@@ -121,7 +140,8 @@ def parse(html: str, by_name: bool = True) -> Node:
             node = _close(node, {"p", *HEADINGS} if name == "p" or name in HEADINGS else {"p"}, {"td", "th", "li", "div", "article", "section", "table"})
         if name in ENDS:
             node = _close(node, *ENDS[name])
-        new = Node(name, node, _is_beside(name, token["attributes"] if by_name else ""))
+        attributes = token["attributes"] if by_name else ""
+        new = Node(name, node, _is_beside(name, attributes), _is_menu(attributes))
         if name in WHOLE or name == "header":
             above = node
             while above is not None and above.name not in WHOLE:
@@ -214,18 +234,24 @@ def score(root: Node) -> list[Node]:
 
 
 def _menus(root: Node) -> set[int]:
-    """Lists, tables and the like that are links for the most part."""
+    """Lists, tables and the like that are links for the most part; in an article or main, those that are menus by name."""
     links: dict[int, int] = {}
     found = set()
     for node, what, _ in walk(root):
         if what is node and node.name not in INLINE:
             n = sum(links.pop(id(c), 0) for c in node.children if isinstance(c, Node)) + sum(isinstance(c, Node) and c.name == "a" for c in node.children)
             links[id(node)] = n
-            if n > 1 and node.name in ("ul", "ol", "dl", "table", "div", "section") and node.link_density() > 0.6:
+            if n > 1 and node.name in ("ul", "ol", "dl", "table", "div", "section") and node.link_density() > 0.6 and (node.menu or not _in_whole(node)):
                 found.add(id(node))
     return found
 
 
+def _in_whole(node: Node | None) -> bool:
+    while node is not None and node.name not in WHOLE:
+        node = node.parent
+    return node is not None
+
+
 def main_text(html: str | None) -> str:
     """The text of the best container and of those siblings that belong to it."""
     return _best_text(parse(html or "")) or _best_text(parse(html or "", by_name=False))
@@ -240,23 +266,32 @@ def _best_text(root: Node) -> str:
     if best is None:  # nothing scores: the article if there is one, else all that is left
         top = next((c for n, c, _ in walk(root) if isinstance(c, Node) and c is not n and c.name in WHOLE), None)
         top = top or next((c for _, c, _ in walk(root) if isinstance(c, Node) and c.name in WHOLE), root)
-    kept = [top] if top is not None else _with_siblings(best)
-    out = _menus(root) - {id(n) for n in kept}
-    return "\n".join(text for node in kept for _, text, _ in paragraphs(node, out))
+    out = _menus(root)
+    if top is not None:
+        return _text(top, out - {id(top)})
+    while best.parent is not None and best.parent.size == best.size:
+        best = best.parent  # a box around the container alone
+    if best.parent is None:
+        return _text(best, out)
+    return _text(best.parent, (out | _strangers(best)) - {id(best), id(best.parent)}, best.parent)
 
 
-def _with_siblings(best: Node) -> list[Node]:
-    if best.parent is None:
-        return [best]
+def _text(root: Node, out: set[int], above: Node | None = None) -> str:
+    """The blocks of text, one a line; those that stand directly in ``above`` only if few of them are links."""
+    return "\n".join(text for node, text, linked in paragraphs(root, out) if linked < LINKED * len(text) or not _directly(node, above))
+
+
+def _directly(node: Node, above: Node | None) -> bool:
+    while node is not above and node.name in INLINE and node.parent is not None:
+        node = node.parent
+    return node is above
+
+
+def _strangers(best: Node) -> set[int]:
+    """The siblings that don't belong to the best container: those with many links that don't score well."""
     least = max(10.0, best.score / 5)
-    kept = []
-    for node in best.parent.children:
-        if isinstance(node, str) or node.beside:
-            continue
-        prose = node.name in {"p", "pre", "blockquote", *HEADINGS} and node.size and node.link_density() < 0.25
-        if node is best or node.score >= least or prose:
-            kept.append(node)
-    return kept
+    blocks = [n for n in best.parent.children if isinstance(n, Node) and n.name not in INLINE]
+    return {id(n) for n in blocks if n is not best and n.score < least and n.link_density() >= LINKED}
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,9 +308,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Each paragraph passes points for its length and commas to its container, and fewer to those
     above; links among their text take points from containers. The best container, or the article
-    or main element it stands in, and its siblings that score well or are prose give the text: their
-    blocks in page order, one a line. Elements that are menus, headers, footers and so on by name,
-    role, class or id are left out first, lists of links last.
+    or main element it stands in, and its siblings that score well or have few links give the text:
+    their blocks in page order, one a line. Elements that are menus, headers, footers and so on by
+    name, role, class or id are left out first, lists of links last; in an article or main element
+    only those lists that are menus by class or id.
 
     Rows are worked on where they are read. A null or empty page gives an empty text. Ids and
     addresses are passed on, null or repeated. Other columns are not read. Broken markup is read as
