@@ -82,6 +82,18 @@ def test_without_copies_keeps_columns(docs):
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 5, 6, 7, 8, 10, 11, 12, 13, 14, 15, 16, 17, 18, None}
 
 
+def test_without_copies_of_a_table_loaded_twice(docs, spark):
+    """One row of each text stays, also of those whose rows repeat the id or have none."""
+    twice = docs.unionByName(docs).repartition(7)
+    kept = [(r.doc_id, r.text) for r in exact_dedup.without_copies(twice).collect()]
+    assert kept.count((None, "no id")) == kept.count((15, "ab" * 150)) == 1
+    assert sorted(map(str, kept)) == sorted({str((r.doc_id, r.text)) for r in exact_dedup.without_copies(docs).collect()})
+    rows = [(None, "x", "A"), (None, "X", "B"), (1, None, "A"), (1, "", "B"), (1, "y", "A"), (2, "Y", "B"), (2, "y", "C")]
+    kept = exact_dedup.without_copies(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert kept.columns == ["doc_id", "text", "source"]
+    assert sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept.collect()) == [(0, "x"), (1, ""), (2, "y")]
+
+
 def test_near_duplicates(docs):
     df = minhash_dedup.near_duplicates(docs)
     assert df.count() == len(TEXTS)

@@ -81,8 +81,22 @@ def equal_texts(
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`equal_texts` keeps, all columns as they are."""
-    return equal_texts(docs, id_col, text_col, whole=True).where("kept").select("row.*")
+    """One row of ``docs`` for each text, of those that :func:`equal_texts` keeps; all columns as they are.
+
+    Rows that repeat both the text and the id that stays, null or not, are looked for by digest and
+    id alone; only where there are any they are combined by content, in each map task first. Which
+    of them stays is open if their other columns differ.
+    """
+    content = lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    names = docs.select(sha256(content).alias("repeated"), F.col(f"`{id_col}`").alias("repeated_id"))
+    repeated = keep(names.groupBy("repeated", "repeated_id").count().where("count > 1").drop("count"), "repeated-rows")
+    kept = equal_texts(docs, id_col, text_col, whole=True).where("kept")
+    if repeated.isEmpty():
+        return kept.select("row.*")
+    again = (F.col("text_sha256") == F.col("repeated")) & F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    by_content = lower_ascii(F.coalesce(F.col("row")[text_col], F.lit("")))
+    one = kept.join(repeated, again, "left_semi").groupBy("text_sha256", "doc_id", by_content.alias("content")).agg(F.any_value("row").alias("row"))
+    return kept.join(repeated, again, "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 SQL = """
