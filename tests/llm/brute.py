@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 from tidewater.llm import license_scan
 
@@ -73,3 +75,34 @@ def repeated_words(words):
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     counts = Counter(windows)
     return len({p for i, w in enumerate(windows) if counts[w] > 1 for p in (i, i + 1, i + 2)})
+
+
+def shards(rows, shards=16, bundles=4096):
+    """{doc_id: (size, text_crc32, shard)} by packing groups and bundles one after the other; no group may exceed a shard."""
+    loads, digests = defaultdict(lambda: [0, 0, 0]), {}
+    for i, text in rows:
+        data = (text or "").encode()
+        digests[i] = hashlib.sha256(data).hexdigest().upper()
+        for k, n in enumerate((len(data) + 1, len(data.split()), 1)):
+            loads[digests[i]][k] += n
+    whole = [sum(load[k] for load in loads.values()) for k in range(3)]
+    name, units = {}, defaultdict(lambda: [0, 0, 0])
+    for digest, load in loads.items():
+        shares = [Fraction(n, w) if w else 0 for n, w in zip(load, whole)]
+        assert max(shares) <= Fraction(1, shards)
+        name[digest] = f"{digest}:0" if max(shares) > Fraction(1, bundles) else str(int(digest[:8], 16) % bundles)
+        for k, n in enumerate(load):
+            units[name[digest]][k] += n
+    parts = {u: [n * 2**30 // w if w else 0 for n, w in zip(load, whole)] for u, load in units.items()}
+    left, found = [[2**30 // shards] * 3 for _ in range(shards)], {}
+    for u in sorted(parts, key=lambda u: (-max(parts[u]), u)):
+        part = parts[u]
+        everywhere = range(shards)
+        whole_fit = [s for s in everywhere if all(a >= b for a, b in zip(left[s], part))]
+        among = whole_fit or [s for s in everywhere if left[s][0] >= part[0]]
+        if among:
+            found[u] = max(among, key=lambda s: (sum(a * b for a, b in zip(left[s], part)), -s))
+        else:
+            found[u] = max(everywhere, key=lambda s: (left[s][0], -s))
+        left[found[u]] = [a - b for a, b in zip(left[found[u]], part)]
+    return {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode()), found[name[digests[i]]]) for i, t in rows}

@@ -18,6 +18,7 @@ from tidewater.llm import (
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
+    sharding,
     suffix_dedup,
 )
 from tidewater.llm.queries import PIECES, TOKENIZERS
@@ -390,3 +391,37 @@ def test_empty_tables(spark, empty, labels):
         chat_snapshots.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")),
     ):
         assert df.count() == 0
+
+
+def slots_of(rows):
+    found = {}
+    for r in rows:
+        found.setdefault(r.shard, []).append(r.slot)
+    return {s: sorted(n) for s, n in found.items()}
+
+
+def test_shards_of_odd_rows(docs, empty):
+    df = sharding.shards(docs, shards=4)
+    assert df.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    rows = df.collect()
+    assert len(rows) == len(TEXTS)
+    assert all(n == list(range(len(n))) for n in slots_of(rows).values())
+    got = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert [(got[i]["size"], got[i].text_crc32) for i in (4, 5)] == [(1, 0)] * 2 and got[4].shard == got[5].shard
+    assert got[2]["size"] == len("É beta".encode()) + 1
+    assert len({r.shard for r in rows if r.doc_id == 15}) == 1
+    none = sharding.shards(empty)
+    assert none.columns == df.columns and none.count() == 0
+
+
+def test_shards_of_a_hot_text(spark):
+    """A text of more than a shard's rows is cut, others stay whole; all sizes end near equal."""
+    text = F.when(F.col("id") % 3 == 0, "the same text").when(F.col("id") % 3 == 1, F.concat(F.lit("pair "), F.floor(F.col("id") / 6)))
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), text.otherwise(F.concat(F.lit("alone "), "id")).alias("text"))
+    found = sharding.shards(rows, cell=10)
+    size = found.groupBy("shard").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert len(size) == 16 and all(r.n == r.d == r.m + 1 for r in size)
+    assert max(r.s for r in size) <= 1.01 * min(r.s for r in size)
+    assert found.join(rows, "doc_id").where("text <> 'the same text'").groupBy("text").agg(F.countDistinct("shard").alias("k")).where("k > 1").isEmpty()
+    again = sharding.shards(rows.repartition(7), cell=10)
+    assert found.exceptAll(again).isEmpty()

@@ -70,3 +70,13 @@ def test_pages(spark):
         title = pages[r.page_id].partition("<h1>")[2].partition("</h1>")[0]
         if "&" not in title:
             assert r.text.startswith(" ".join(title.split()))
+
+
+def test_shards(spark, texts):
+    rows = QUERIES["op13_sharding"](spark, FOLDER).collect()
+    assert {r.doc_id: (r["size"], r.text_crc32, r.shard) for r in rows} == brute.shards(texts)
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+        assert r.law == "bytes" and r.grown_shard is None
+    assert sorted(slots) == list(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())

@@ -18,6 +18,7 @@ from tidewater.llm import (
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
+    sharding,
     suffix_dedup,
 )
 
@@ -104,3 +105,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of each document and its place there."""
+    return sharding.shards(table(spark, sf_dir, "documents"))
