@@ -19,6 +19,7 @@ from tidewater.llm import (
     quality_rules,
     sentencepiece_codec,
     sharding,
+    source_divergence,
     suffix_dedup,
 )
 
@@ -107,6 +108,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query(source_divergence.SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language lie apart, and the terms that set each off."""
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of each document and its place there."""
