@@ -12,6 +12,7 @@ from tidewater.llm import (
     chat_snapshots,
     exact_dedup,
     html_extraction,
+    lexical_search,
     license_scan,
     minhash_dedup,
     mixing,
@@ -114,6 +115,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+@query(lexical_search.SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of each document and its place there."""

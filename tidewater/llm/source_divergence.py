@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import keep, lower_ascii
-from tidewater.llm.transducer import Transducer, words_of
+from tidewater.llm.transducer import Transducer, bytes_of, words_of
 
 #: What parts terms, besides the ends of a text.
 PARTS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -100,9 +100,7 @@ def recount(texts: DataFrame, automata: list[tuple[int, bytes]]) -> DataFrame:
         for batch in batches:
             langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
             group = np.array([held.groups.setdefault(g, len(held.groups)) for g in zip(langs, sources)], dtype=np.int64)
-            text = batch.column("text")
-            offsets = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
-            data = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
+            data, offsets = bytes_of(batch.column("text"))
             names, code = np.unique(np.array(langs, dtype=object), return_inverse=True)
             for letters, starts, lengths, of in words_of(data, offsets):
                 for k, (first, machine) in enumerate(machines):

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Each byte of a word in lower case (A-Z alone changes), 0 for bytes that part words.
 LETTERS = np.zeros(256, dtype=np.uint8)
 LETTERS[0x61:0x7B] = LETTERS[0x41:0x5B] = np.arange(0x61, 0x7B)
 LETTERS[0x80:] = np.arange(0x80, 0x100)
+#: The same with digits.
+DIGITS = LETTERS.copy()
+DIGITS[0x30:0x3A] = np.arange(0x30, 0x3A)
 #: Bytes of text looked at together.
 PIECE = 1 << 20
 
@@ -128,23 +132,32 @@ class Transducer:
         return found
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow string array and the offsets of its texts in them."""
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8), offsets.astype(np.int64)
+
+
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, piece: int = PIECE, alphabet: np.ndarray = LETTERS
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """The words of texts that lie one after the other in ``data``, some MB at a time.
 
     Yields the lower-cased bytes of a stretch, the starts and lengths of its words in them and the
-    number of each word's text. A stretch ends between words, however long they are.
+    number of each word's text. A stretch ends between words, however long they are. ``alphabet`` has
+    what becomes of each byte, 0 for those that part words.
     """
     first, end = int(offsets[0]), int(offsets[-1])
     while first < end:
         cut = min(first + piece, end)
         while cut < end:
             border = int(offsets[np.searchsorted(offsets, cut)])
-            parts = np.flatnonzero(LETTERS[data[cut : min(border, cut + piece)]] == 0)
+            parts = np.flatnonzero(alphabet[data[cut : min(border, cut + piece)]] == 0)
             if len(parts) or border <= cut + piece:
                 cut = cut + int(parts[0]) if len(parts) else border
                 break
             cut += piece
-        letters = LETTERS[data[first:cut]]
+        letters = alphabet[data[first:cut]]
         inside = letters > 0
         begins, stops = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
