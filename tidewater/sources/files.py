@@ -98,7 +98,7 @@ def fitting_records(records: DataFrame) -> DataFrame:
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A headerless SDK log with imposed column names; quoted fields may hold line breaks.
 
-    For their sake a file is read by one task; logs arrive as many files.
+    For their sake a file is read by one task. ``records.read_log_ranges`` reads large files by many.
     """
     return fitting_records(spark.read.schema(LOG_SCHEMA).options(**LOG_OPTIONS).csv(path))
 

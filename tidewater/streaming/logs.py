@@ -17,6 +17,7 @@ from tidewater.operators.alerts import ALERT_COLUMNS, KeySpikeRule, Rule, SpikeR
 from tidewater.operators.rolling import micros
 from tidewater.operators.validation import require_columns
 from tidewater.sources.files import LOG_OPTIONS, LOG_SCHEMA, fitting_records
+from tidewater.sources.records import parse_records, records, text_lines
 
 REQUIRED = ("severity", "date", "bundle_id")
 LOGGER = logging.getLogger(__name__)
@@ -32,6 +33,16 @@ def log_stream(spark: SparkSession, folder: str, archive: str | None = None, fil
     return fitting_records(reader.csv(folder))
 
 
+def log_line_stream(spark: SparkSession, folder: str, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """The lines of new ``.csv`` files by byte ranges, for :meth:`AlertStream.start_lines`."""
+    options = {"pathGlobFilter": "*.csv"}
+    if archive:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
+    if files_per_batch:
+        options |= {"maxFilesPerTrigger": files_per_batch}
+    return text_lines(spark, folder, stream=True, **options)
+
+
 def clean_log(rows: DataFrame, metrics: str | None = "log_quality") -> DataFrame:
     """Parses the Unix-seconds ``date`` and drops rows without one; counts both as observed metrics.
 
@@ -115,6 +126,23 @@ class AlertStream:
         writer = named.writeStream.foreachBatch(check)
         return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
+    def start_lines(self, lines: DataFrame, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+        """:meth:`start` for a stream of ``log_line_stream``: a large file is parsed by many tasks."""
+
+        def check(batch: DataFrame, batch_id: int) -> None:
+            rows = parse_records(records(batch)).persist()
+            try:
+                clean, total = clean_log(rows, metrics=None), rows.count()
+                files = batch.agg(F.count_distinct("file")).first()[0]
+                counts = {"files_processed": files, "rows_total": total, "rows_dropped_invalid_date": total - clean.count()}
+                for rule, error in self.process(clean, batch_id, counts).items():
+                    LOGGER.error("rule %s failed on batch %s: %s", rule, batch_id, error)
+            finally:
+                rows.unpersist()
+
+        writer = lines.writeStream.foreachBatch(check)
+        return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
     def counters(self, spark: SparkSession) -> dict[str, int]:
         """Files, rows, dropped rows, alerts and rule errors of all batches; an alert counts in each batch that raises it."""
         sums = spark.read.json(f"{self.base}/counters").drop("batch")
