@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.rolling import HOUR_US, MINUTE_US, rolling_count
@@ -42,14 +42,17 @@ class SpikeRule:
     def alerts(self, events: DataFrame) -> DataFrame:
         minute = F.date_trunc("minute", F.timestamp_micros("us"))
         found = self.spikes(events).groupBy(minute.alias("ts")).agg(F.max("in_window").alias("n"))
-        text = F.format_string(
+        return found.select(
+            F.lit(self.name).alias("rule"), F.lit(None).cast("string").alias("key"), "ts", "n", self.message().alias("message")
+        )
+
+    def message(self) -> Column:
+        """The text of an alert from its ``n`` and ``ts``."""
+        return F.format_string(
             f"[RULE {self.name}] Critical: %d {self.severity.lower()} errors around %s",
             "n",
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
         )
-        return found.select(
-            F.lit(self.name).alias("rule"), F.lit(None).cast("string").alias("key"), "ts", "n", text.alias("message")
-        )
 
 
 @dataclass(frozen=True)
@@ -71,15 +74,18 @@ class KeySpikeRule:
             F.max("in_window").alias("n"), F.min("us").alias("_us")
         )
         key = F.col(self.key).cast("string")
-        text = F.concat(F.lit(f"[RULE {self.name}] Bundle Alert: High fatal rate detected for "), key)
         return found.select(
             F.lit(self.name).alias("rule"),
             key.alias("key"),
             F.date_trunc("minute", F.timestamp_micros("_us")).alias("ts"),
             "n",
-            text.alias("message"),
+            self.message(key).alias("message"),
         )
 
+    def message(self, key: Column | None = None) -> Column:
+        """The text of an alert from its ``key``."""
+        return F.concat(F.lit(f"[RULE {self.name}] Bundle Alert: High fatal rate detected for "), F.col("key") if key is None else key)
+
 
 def apply_rules(events: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame | None, dict[str, str]]:
     """All alerts of the rules, and the error text of rules that could not be planned.
