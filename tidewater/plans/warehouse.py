@@ -12,6 +12,8 @@ from tidewater.operators import warehouse as wh
 from tidewater.operators.joins import not_in
 from tidewater.operators.ranking import first_per_key
 from tidewater.registry import query
+from tidewater.sinks.buckets import BucketedTable
+from tidewater.sources.layouts import layout
 
 BOUNDARY = "1998-06-01"
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -199,7 +201,7 @@ def mart_sales(t):
     return summed.select("year", "segment", F.round(from_units(F.col("s")), 2).alias("sales"), "quantity")
 
 
-@query(
+SEGMENTS_SQL = (
     f"""WITH b AS (SELECT c_custkey, label FROM (
           SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn
           FROM (SELECT o_custkey, o_orderdate, o_orderkey, {{label}} AS label FROM orders WHERE o_orderdate >= TIMESTAMP '{BOUNDARY}')
@@ -207,13 +209,29 @@ def mart_sales(t):
         SELECT c_custkey, c_acctbal >= 0 AS is_current, coalesce(label, c_mktsegment) AS label
         FROM customer LEFT JOIN b USING (c_custkey)""".replace("{label}", NEW_LABEL)
 )
-def scd1_update(t):
+
+
+def segment_load(t):
     """Some rows of the batch repeat the member's segment, others bring a new one."""
     dim = t.customer.select("c_custkey", (F.col("c_acctbal") >= 0).alias("is_current"), F.col("c_mktsegment").alias("label"))
     batch = t.orders.filter(since("o_orderdate")).select(
         F.col("o_custkey").alias("c_custkey"), F.expr(NEW_LABEL).alias("label"), "o_orderdate", "o_orderkey"
     )
-    return wh.overwrite_attribute(dim, batch, "c_custkey", "label", ["-o_orderdate", "o_orderkey"], F.col("is_current"))
+    return dim, batch, ["-o_orderdate", "o_orderkey"]
+
+
+@query(SEGMENTS_SQL)
+def scd1_update(t):
+    dim, batch, order = segment_load(t)
+    return wh.overwrite_attribute(dim, batch, "c_custkey", "label", order, F.col("is_current"))
+
+
+@query(SEGMENTS_SQL)
+def stored_scd1(t):
+    """``scd1_update`` on a stored dimension: members the batch does not name stay where they are."""
+    dim, batch, order = segment_load(t)
+    change = lambda s: s.overwrite_attribute(batch, "label", order, current=F.col("is_current"))
+    return stored(t, "segments", ["c_custkey"], dim, change).read()
 
 
 @query(
@@ -239,7 +257,8 @@ def last_priority(t, rows):
     return first_per_key(rows, ["o_custkey"], ["-o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderpriority", "o_orderdate")
 
 
-def priority_history(t):
+def history_load(t):
+    """A dimension of priorities, and the orders that come later."""
     first = last_priority(t, t.orders.filter(before("o_orderdate")))
     dim = first.select(
         "o_custkey",
@@ -248,7 +267,11 @@ def priority_history(t):
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         F.lit(True).alias("is_current"),
     )
-    batch = t.orders.filter(since("o_orderdate"))
+    return dim, t.orders.filter(since("o_orderdate"))
+
+
+def priority_history(t):
+    dim, batch = history_load(t)
     loaded = F.lit("2002-01-01").cast("timestamp_ntz")
     return wh.versioned_dimension(dim, batch, "o_custkey", ["o_orderpriority"], loaded, ["-o_orderdate", "o_orderkey"])
 
@@ -270,6 +293,40 @@ def scd2(t):
     return priority_history(t)
 
 
+def stored(t, name, keys, first, *changes):
+    """A table in 64 key buckets, made and changed once; queries read it."""
+
+    def build(path):
+        table = BucketedTable(t.spark, path, keys, 64)
+        table.create(first)
+        for change in changes:
+            change(table)
+
+    return BucketedTable(t.spark, layout(t, name, build), keys, 64)
+
+
+@query(
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '{BOUNDARY}'
+        UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM {LINE_SQL} WHERE rn = 1 AND NOT known"""
+)
+def stored_insert(t):
+    """The lines of a stored table after a load that ignores keys it has."""
+    later = t.lineitem.filter(since("l_shipdate"))
+    batch = later.unionByName(later.filter("l_linenumber = 1"))
+    first = t.lineitem.filter(before("l_shipdate"))
+    table = stored(t, "lines", LINE_KEY, first, lambda s: s.insert_ignore(batch, LINE_ORDER))
+    return table.read().select(*LINE_KEY, "l_partkey", "l_suppkey")
+
+
+@query(HISTORY_SQL)
+def stored_scd2(t):
+    """The history of ``scd2``, kept in a stored table of which only the buckets of the batch are written."""
+    dim, batch = history_load(t)
+    loaded = F.lit("2002-01-01").cast("timestamp_ntz")
+    change = lambda s: s.new_versions(batch, ["o_orderpriority"], loaded, ["-o_orderdate", "o_orderkey"])
+    return stored(t, "priorities", ["o_custkey"], dim, change).read()
+
+
 @query(HISTORY_SQL + " WHERE is_current")
 def dim_current(t):
     return priority_history(t).filter("is_current")
@@ -333,12 +390,21 @@ def audit_tail(t):
        FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-04-01' GROUP BY 1"""
 )
 def partition_prune(t):
-    """A quarter of the orders by month. The range reaches the scan; of a table that ``publish``
-    has written by month it opens three folders (see the tests)."""
-    quarter = t.orders.filter(since("o_orderdate", "1998-01-01") & before("o_orderdate", "1998-04-01"))
-    return quarter.groupBy(month_label(F.col("o_orderdate")).alias("month")).agg(
-        F.count("*").alias("n"), from_units(F.sum(units(F.col("o_totalprice"), 2)), 2).alias("total")
-    )
+    """A quarter of the orders, stored by month: which months it has is known to a small table only, so the
+    folders to open are chosen while the query runs."""
+
+    def build(path):
+        month = month_label(F.col("o_orderdate"))
+        by_month = t.orders.select("o_orderkey", "o_totalprice", month.alias("month"))
+        wh.publish(by_month, path, "orders", ["month"])
+        months = t.orders.select(month.alias("month"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"))
+        wh.publish(months.distinct().coalesce(1), path, "months")
+
+    path = layout(t, "orders-by-month", build)
+    orders = t.spark.read.schema("o_orderkey bigint, o_totalprice double, month string").parquet(f"{path}/version=orders")
+    months = t.spark.read.schema("month string, year int, quarter int").parquet(f"{path}/version=months")
+    quarter = orders.join(months.filter("year = 1998 and quarter = 1"), "month")
+    return quarter.groupBy("month").agg(F.count("*").alias("n"), from_units(F.sum(units(F.col("o_totalprice"), 2)), 2).alias("total"))
 
 
 @query(
@@ -385,7 +451,10 @@ def as_of(t):
 
 @query(AS_OF_SQL)
 def clone_as_of(t):
-    return vs.clone_as_of(order_history(t), ["o_custkey"], F.lit(AT).cast("timestamp_ntz"), None, ["-o_orderkey"])
+    """The clone is written once, as a table of its own, and read from there."""
+    at = F.lit(AT).cast("timestamp_ntz")
+    path = layout(t, "clone", lambda path: vs.clone_as_of(order_history(t), ["o_custkey"], at, path, ["-o_orderkey"]))
+    return t.spark.read.parquet(path)
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT coalesce(nullif(o_orderstatus, 'P') = 'O', false)")
