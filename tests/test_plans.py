@@ -52,9 +52,11 @@ def test_sliced_operators_shuffle_the_rows_once(spark, no_broadcast):
 
 def test_windows_over_a_whole_sequence_read_spans(spark, no_broadcast):
     """What meets in one partition has been summed by span before."""
-    for name in ("run_length_whole", "rolling_spikes"):
+    for name in ("run_length_whole", "rolling_spikes", "max_after_zero"):
         lines = physical(PLANS[name](Tables(spark, FOLDER))).splitlines()
         single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+        # besides the one row that says where to cut, and the last aggregate of a query
+        single = [i for i in single if not any(one in " ".join(lines[i : i + 2]) for one in ("partial_percentile_approx", "partial_max("))]
         assert all("_span" in " ".join(lines[i : i + 4]) for i in single)
 
 

@@ -11,7 +11,6 @@ from tidewater.operators.sequences import running_sum
 
 MINUTE_US = 60_000_000
 HOUR_US = 3_600_000_000
-SLICE_US = 600_000_000
 
 
 def micros(ts: str | Column) -> Column:
@@ -26,13 +25,14 @@ def rolling_count(df: DataFrame, ts: str, width_us: int, keys: Sequence[str] = (
     ``n`` is the number of rows at the instant; tied rows count each other. Rows are
     counted per instant before anything else. An instant then enters the window at t and
     leaves it at t + width, and the window count is the running sum of these steps: one
-    pass however many rows share a window, where a RANGE frame would rescan each window.
+    pass however many rows share a window, where a RANGE frame would rescan each window. A burst is
+    cut at quantiles of its instants, so it is spread over tasks; ``slice_us`` cuts time evenly instead.
     """
     us = micros(ts)
     instants = df.filter(F.col(ts).isNotNull()).groupBy(*keys, us.alias("us")).agg(F.count("*").alias("n"))
     enters = F.struct(F.col("us").alias("us"), F.col("n").alias("step"), F.col("n").alias("n"))
     leaves = F.struct((F.col("us") + F.lit(width_us)).alias("us"), (-F.col("n")).alias("step"), F.lit(0).cast("bigint").alias("n"))
     steps = instants.select(*keys, F.explode(F.array(enters, leaves)).alias("_s")).select(*keys, "_s.*")
-    width = slice_us or min(width_us, SLICE_US)
-    counted = running_sum(steps, "us", "step", keys, F.floor(F.col("us") / F.lit(width)), "in_window")
+    part = F.floor(F.col("us") / F.lit(slice_us)) if slice_us else None
+    counted = running_sum(steps, "us", "step", keys, part, "in_window")
     return counted.filter(F.col("n") > 0).drop("step")

@@ -1,10 +1,13 @@
 """Operators over ordered sequences, cut into slices so that no key is one task.
 
 A window over a whole table, or over a key that holds a third of it, would sort that
-part in a single task. Here each sequence is cut into slices of its order column; rows
-see their slice, and one summary row per slice carries what must cross its edge.
-Running sums and runs cut the summaries again, into spans of ``SPAN`` slices, so that a
-key-wide window reads one row per span.
+part in a single task. Sequences of up to ``WHOLE`` rows, or 1 / ``PIECES`` of all rows, are one
+slice. Longer ones are cut at quantiles of their order column, so slices are equal in rows however
+the rows are spread; there are 2 * ``PIECES`` such slices at most. Rows see their slice, and a
+summary row for each slice of a cut sequence carries what must cross its edges; sequences that are not cut
+need none. Where the caller gives the slices (``part``), every slice has a summary, and
+summaries are cut again, into spans of ``SPAN`` slices, so that a key-wide window reads one row
+per span.
 """
 
 from __future__ import annotations
@@ -14,26 +17,69 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_WIDTH = 65536
 SPAN = 4096
+#: Rows of a sequence that is not cut, at least; beyond WHOLE * PIECES rows in all, sequences of 1 / PIECES of them are.
+WHOLE, PIECES = 65536, 16384
+#: Quantiles that are taken of a long sequence, and how many are looked through at once.
+CUTS, FAN = 4096, 64
 
 
-def slice_of(order: str, width: int = SLICE_WIDTH) -> Column:
+def slice_of(order: str, width: int = WHOLE) -> Column:
     """Slice number of a unique integer position: at most ``width`` rows per slice."""
     return F.floor(F.col(order) / F.lit(width))
 
 
+def _quantiles(order: str, rows: Column, per: Column) -> Column:
+    """The places where a sequence of so many rows is cut to have ``per`` in a slice."""
+    grid = F.expr(f"array({', '.join(f'{i / CUTS}D' for i in range(1, CUTS))})")
+    found = F.percentile_approx(order, grid, 10 * CUTS)
+    slices = F.least(F.ceil(rows / per), F.lit(CUTS))
+    chosen = F.transform(F.sequence(F.lit(1).cast("bigint"), slices - 1), lambda i: F.get(found, F.floor(i * CUTS / slices).cast("int") - 1))
+    return F.when(slices > 1, F.array_compact(F.array_distinct(chosen))).alias("_cuts")
+
+
+def _slice_in(cuts: Column, order: Column) -> Column:
+    """How many cuts are not above ``order``: by groups of FAN, then within the group that holds the place."""
+    tops = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(cuts) / FAN).cast("int")), lambda i: F.get(cuts, i * FAN - 1))
+    full = F.size(F.filter(tops, lambda c: c <= order))
+    near = F.filter(F.slice(cuts, full * FAN + 1, F.lit(FAN)), lambda c: c <= order)
+    return F.when(cuts.isNull(), 0).otherwise(full * FAN + F.size(near)).cast("bigint")
+
+
+def _balanced(df: DataFrame, order: str, sequence: Sequence[str]) -> DataFrame:
+    """The frame with ``_slice`` and ``_cut``, whether the row's sequence has more slices than one."""
+    if not sequence:
+        n = F.count("*")
+        cuts = df.agg(_quantiles(order, n, F.greatest(F.lit(WHOLE), F.ceil(n / PIECES)))).scalar()
+        df = df.withColumn("_cuts", cuts)
+    else:
+        counts = df.groupBy(*sequence).agg(F.count("*").alias("_n"))
+        per = F.greatest(F.lit(WHOLE), F.ceil(counts.agg(F.sum("_n")).scalar() / PIECES))
+        # fewer than PIECES sequences are that long, and all their cuts together are at most twice as many
+        long = F.broadcast(counts.withColumn("_per", per).filter("_n > _per"))
+        cuts = df.join(long, [*sequence]).groupBy(*sequence).agg(_quantiles(order, F.first("_n"), F.first("_per")))
+        df = df.join(F.broadcast(cuts), [*sequence], "left")
+    return df.withColumns({"_slice": _slice_in(F.col("_cuts"), F.col(order)), "_cut": F.col("_cuts").isNotNull()}).drop("_cuts")
+
+
 def _sliced(df: DataFrame, order: str, keys: Sequence[str], part: Column | None) -> tuple[DataFrame, list[str], list[str]]:
     """The frame with its slice, the columns that name a sequence, and those that name a slice.
 
     The keys travel as one struct, which compares null keys as equal under plain equality:
     the join on a slice then reuses the partitioning and order its window has made.
     """
-    number = F.coalesce((slice_of(order) if part is None else part).cast("bigint"), F.lit(-(2**63)))
     sequence = ["_key"] if keys else []
     if keys:
         df = df.withColumn("_key", F.struct(*keys))
-    return df.withColumn("_slice", number), sequence, [*sequence, "_slice"]
+    if part is None:
+        return _balanced(df, order, sequence), sequence, [*sequence, "_slice"]
+    number = F.coalesce(part.cast("bigint"), F.lit(-(2**63)))
+    return df.withColumns({"_slice": number, "_cut": F.lit(True)}), sequence, [*sequence, "_slice"]
+
+
+def _with_summaries(rows: DataFrame, summaries: DataFrame, piece: Sequence[str], part: Column | None) -> DataFrame:
+    """Rows with the summary of their slice, if it has one; those of sequences cut at quantiles are few enough to broadcast."""
+    return rows.join(F.broadcast(summaries) if part is None else summaries, [*piece], "left")
 
 
 def _spans(summaries: DataFrame) -> DataFrame:
@@ -52,18 +98,29 @@ def _sum_before(summaries: DataFrame, sequence: Sequence[str], value: Column, al
     return both.withColumn(alias, F.coalesce("_near", F.lit(0)) + F.coalesce("_far", F.lit(0))).drop("_span", "_value", "_near", "_far")
 
 
+def _value_before(summaries: DataFrame, sequence: Sequence[str], value: str, alias: str) -> DataFrame:
+    """Adds ``value`` of the slice before in the sequence, as a struct; null for the first."""
+    boxed = _spans(summaries).withColumn("_boxed", F.struct(value))
+    across = Window.partitionBy(*sequence).orderBy("_span")
+    spans = boxed.groupBy(*sequence, "_span").agg(F.max_by("_boxed", "_slice").alias("_last"))
+    spans = spans.select(*sequence, "_span", F.lag("_last").over(across).alias("_far"))
+    inside = Window.partitionBy(*sequence, "_span").orderBy("_slice")
+    near = boxed.withColumn("_near", F.lag("_boxed").over(inside))
+    return near.join(spans, [*sequence, "_span"]).withColumn(alias, F.coalesce("_near", "_far")).drop("_span", "_boxed", "_near", "_far")
+
+
 def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None,
                 alias: str = "running") -> DataFrame:
     """Sum of ``value`` over all rows of the key up to the current one, peers included."""
     sliced, sequence, piece = _sliced(df, order, keys, part)
-    totals = sliced.groupBy(*piece).agg(F.sum(value).alias("_total"))
+    totals = sliced.filter("_cut").groupBy(*piece).agg(F.sum(value).alias("_total"))
     bases = _sum_before(totals, sequence, F.col("_total"), "_base").select(*piece, "_base")
     inside = Window.partitionBy(*piece).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_inside", F.sum(value).over(inside))
     return (
-        rows.join(bases, piece)
+        _with_summaries(rows, bases, piece, part)
         .withColumn(alias, F.coalesce("_inside", F.lit(0)) + F.coalesce("_base", F.lit(0)))
-        .drop("_key", "_slice", "_inside", "_base")
+        .drop("_key", "_slice", "_cut", "_inside", "_base")
     )
 
 
@@ -71,22 +128,21 @@ def with_previous(df: DataFrame, order: str, value: str, keys: Sequence[str] = (
                   alias: str = "previous") -> DataFrame:
     """Adds the preceding value of the sequence as ``struct(value)``; null struct for the first row."""
     sliced, sequence, piece = _sliced(df, order, keys, part)
-    lasts = sliced.groupBy(*piece).agg(F.max_by(value, order).alias("value"))
-    across = Window.partitionBy(*sequence).orderBy("_slice")
-    carried = lasts.select(*piece, F.lag(F.struct("value")).over(across).alias("_carried"))
+    lasts = sliced.filter("_cut").groupBy(*piece).agg(F.max_by(value, order).alias("value"))
+    carried = _value_before(lasts, sequence, "value", "_carried").select(*piece, "_carried")
     inside = Window.partitionBy(*piece).orderBy(order)
     rows = sliced.withColumn("_before", F.lag(F.struct(F.col(value).alias("value"))).over(inside))
     return (
-        rows.join(carried, piece)
+        _with_summaries(rows, carried, piece, part)
         .withColumn(alias, F.coalesce("_before", "_carried"))
-        .drop("_key", "_slice", "_before", "_carried")
+        .drop("_key", "_slice", "_cut", "_before", "_carried")
     )
 
 
 def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), part: Column | None = None) -> DataFrame:
     """Run-length encoding: (keys, run, value, n), runs numbered from 1 in sequence order.
 
-    Runs are formed inside slices. A slice then tells how many it has, and whether and for how
+    Runs are formed inside slices. A slice of a cut sequence then tells how many it has, and whether and for how
     long its first one continues the last run before it; from these few rows the runs get their
     numbers and full lengths. The rows themselves are shuffled once.
     """
@@ -94,19 +150,19 @@ def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
     inside = Window.partitionBy(*piece).orderBy(order)
     boxed = F.struct(F.col(value).alias("value"))
     placed = sliced.withColumns(
-        {"_same": F.lag(boxed).over(inside).eqNullSafe(boxed), "_at": F.row_number().over(inside)}
+        {"_same": F.lag(boxed).over(inside).eqNullSafe(boxed), "_at": F.row_number().over(inside), "_size": F.count("*").over(Window.partitionBy(*piece))}
     )
     formed = placed.filter(~F.col("_same")).withColumns(
         {"_inner": F.row_number().over(inside), "_next": F.lead("_at").over(inside)}
     )
-    formed = formed.select(*piece, value, "_at", "_inner", "_next")
-    sizes = sliced.groupBy(*piece).agg(F.count("*").alias("_size"))
-    ends = formed.groupBy(*piece).agg(
+    formed = formed.select(*piece, value, "_at", "_inner", "_next", "_size", "_cut")
+    ends = formed.filter("_cut").groupBy(*piece).agg(
         F.max("_inner").alias("_runs"),
         F.min("_next").alias("_second"),
         F.min_by(value, "_inner").alias("_first"),
         F.max_by(value, "_inner").alias("_last"),
-    ).join(sizes, piece)
+        F.first("_size").alias("_size"),
+    )
     # inside a span, then from span to span, as in _sum_before
     within = Window.partitionBy(*sequence, "_span").orderBy("_slice")
     near = _spans(ends).withColumn("_earlier", F.lag(F.struct("_last")).over(within))
@@ -131,12 +187,12 @@ def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
     added = shifted.filter("_joined = 1").groupBy(*sequence, (F.col("_shift") + 1).alias("run")).agg(
         F.sum(F.coalesce(F.col("_second") - 1, F.col("_size"))).alias("_added")
     )
-    slices = shifted.join(added, [*sequence, "run"], "left").drop("run", "_second")
-    whole = formed.join(slices, piece).filter((F.col("_inner") > 1) | (F.col("_joined") == 0))
+    slices = shifted.join(added, [*sequence, "run"], "left").select(*piece, "_joined", "_shift", "_added")
+    whole = _with_summaries(formed, slices, piece, part).filter((F.col("_inner") > 1) | (F.coalesce("_joined", F.lit(0)) == 0))
     reach = F.coalesce(F.col("_next"), F.col("_size") + F.coalesce("_added", F.lit(0)) + 1)
     return whole.select(
         *(F.col(f"_key.{k}").alias(k) for k in keys),
-        (F.col("_inner") + F.col("_shift")).alias("run"),
+        (F.col("_inner") + F.coalesce("_shift", F.lit(0))).cast("bigint").alias("run"),
         value,
         (reach - F.col("_at")).cast("bigint").alias("n"),
     )
