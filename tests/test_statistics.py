@@ -124,3 +124,33 @@ def test_not_a_number_is_missing(spark):
     assert st.value_counts(df, "v").count() == 3
     assert st.at_maximum(df, "v", F.lit(True)).first().max_value == 3.0
     assert st.first_percentile_above(df, "v", 2.5).first().first_pct == 76
+
+
+@pytest.fixture
+def large_groups(monkeypatch):
+    """Groups of more than a few values are large, so that sketches are used on small tables."""
+    monkeypatch.setattr(st, "WHOLE", 20)
+
+
+def percentiles_of_groups(spark, grid=st.GRID):
+    rng = random.Random(7)
+    rows = [(rng.choice(["hot"] * 8 + ["a", None]), rng.choice([rng.gauss(0, 1), 0.5])) for _ in range(3000)]
+    rows += [("few", float(k % 3)) for k in range(300)] + [("one", 4.0)]
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    got = {r.k: r for r in st.percentiles(spark.createDataFrame(rows, "k string, x double"), "x", probs, ["k"], grid).collect()}
+    assert set(got) == {"hot", "a", None, "few", "one"}
+    for key, row in got.items():
+        values = [v for k, v in rows if k == key]
+        assert row.n == len(values)
+        assert [row[f"p{i}"] for i in range(len(probs))] == pytest.approx(list(np.percentile(values, [100 * p for p in probs])))
+
+
+def test_percentiles_of_large_groups(spark, large_groups):
+    percentiles_of_groups(spark)
+
+
+@pytest.mark.parametrize("accuracy, grid", [(1, 64), (2, 3), (2000, 1)])
+def test_a_poor_sketch_changes_nothing(spark, large_groups, monkeypatch, accuracy, grid):
+    """Cells are uneven then, wanted ranks lie anywhere; the results are exact all the same."""
+    monkeypatch.setattr(st, "ACCURACY", accuracy)
+    percentiles_of_groups(spark, grid)

@@ -14,25 +14,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPAN = 4096
 #: Rows of a sequence that is not cut, at least; beyond WHOLE * PIECES rows in all, sequences of 1 / PIECES of them are.
-WHOLE, PIECES = 65536, 16384
+WHOLE, PIECES = 1 << 18, 16384
 #: Quantiles that are taken of a long sequence, and how many are looked through at once.
-CUTS, FAN = 4096, 64
+CUTS, FAN = 1024, 32
 
 
-def slice_of(order: str, width: int = WHOLE) -> Column:
+def slice_of(order: str, width: int = 65536) -> Column:
     """Slice number of a unique integer position: at most ``width`` rows per slice."""
     return F.floor(F.col(order) / F.lit(width))
 
 
 def _quantiles(order: str, rows: Column, per: Column) -> Column:
     """The places where a sequence of so many rows is cut to have ``per`` in a slice."""
-    grid = F.expr(f"array({', '.join(f'{i / CUTS}D' for i in range(1, CUTS))})")
-    found = F.percentile_approx(order, grid, 10 * CUTS)
+    found = F.percentile_approx(order, F.lit(np.arange(1, CUTS) / CUTS), 10 * CUTS)
     slices = F.least(F.ceil(rows / per), F.lit(CUTS))
     chosen = F.transform(F.sequence(F.lit(1).cast("bigint"), slices - 1), lambda i: F.get(found, F.floor(i * CUTS / slices).cast("int") - 1))
     return F.when(slices > 1, F.array_compact(F.array_distinct(chosen))).alias("_cuts")
@@ -48,17 +48,18 @@ def _slice_in(cuts: Column, order: Column) -> Column:
 
 def _balanced(df: DataFrame, order: str, sequence: Sequence[str]) -> DataFrame:
     """The frame with ``_slice`` and ``_cut``, whether the row's sequence has more slices than one."""
-    if not sequence:
-        n = F.count("*")
-        cuts = df.agg(_quantiles(order, n, F.greatest(F.lit(WHOLE), F.ceil(n / PIECES)))).scalar()
-        df = df.withColumn("_cuts", cuts)
-    else:
-        counts = df.groupBy(*sequence).agg(F.count("*").alias("_n"))
-        per = F.greatest(F.lit(WHOLE), F.ceil(counts.agg(F.sum("_n")).scalar() / PIECES))
-        # fewer than PIECES sequences are that long, and all their cuts together are at most twice as many
-        long = F.broadcast(counts.withColumn("_per", per).filter("_n > _per"))
-        cuts = df.join(long, [*sequence]).groupBy(*sequence).agg(_quantiles(order, F.first("_n"), F.first("_per")))
-        df = df.join(F.broadcast(cuts), [*sequence], "left")
+    alone = [] if sequence else ["_all"]
+    if alone:
+        # one sequence: a key that is always 0, but that Spark can't fold, joins the rows to their cuts
+        df = df.withColumn("_all", F.pmod(F.xxhash64(order), F.lit(1)))
+    name = [*sequence, *alone]
+    rows = df.select(*name, order)
+    counts = rows.groupBy(*name).agg(F.count("*").alias("_n"))
+    per = F.greatest(F.lit(WHOLE), F.ceil(counts.agg(F.sum("_n")).scalar() / PIECES))
+    # fewer than PIECES sequences are that long, and all their cuts together are at most twice as many
+    long = F.broadcast(counts.withColumn("_per", per).filter("_n > _per"))
+    cuts = rows.join(long, name).groupBy(*name).agg(_quantiles(order, F.first("_n"), F.first("_per")))
+    df = df.join(F.broadcast(cuts), name, "left").drop(*alone)
     return df.withColumns({"_slice": _slice_in(F.col("_cuts"), F.col(order)), "_cut": F.col("_cuts").isNotNull()}).drop("_cuts")
 
 

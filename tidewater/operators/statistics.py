@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ranking import join_null_safe
+from tidewater.operators import sequences
 from tidewater.operators.sequences import running_sum
 
-GRID = 256
-ACCURACY = 10000
-BRACKET_SLICES = 256
+#: Distinct values of a group that one task may read, at least.
+WHOLE = 1 << 20
+GRID = 64
+ACCURACY = 2000
+CELL_SLICES = 256
 
 
 def number_or_null(df: DataFrame, column: str) -> DataFrame:
@@ -49,77 +52,79 @@ def share_in_group(df: DataFrame, group: str, value: str, wanted: Sequence) -> D
     )
 
 
+def _rank(p: float, n: Column) -> Column:
+    """Where a percentile lies among n sorted values: between ``low`` and ``high``, a ``part`` of the way."""
+    position = F.lit(float(p)) * (n - 1)
+    return F.struct(F.floor(position).alias("low"), F.ceil(position).alias("high"), (position - F.floor(position)).alias("part"))
+
+
+def _between(low: Column, high: Column, part: Column) -> Column:
+    return low + (high - low) * part
+
+
+def _by_counts(ranked: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``_key, _p`` from the distinct values ``_v`` of each key, ``_c`` times each, ``_to`` values up to it, ``_n`` in all."""
+    ranks = [_rank(p, F.col("_n")) for p in probs]
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("_to")) & (rank >= F.col("_to") - F.col("_c")), F.col("_v")))
+
+    ends = [(at(r["low"]), at(r["high"]), F.max(r["part"])) for r in ranks]
+    return ranked.groupBy("_key").agg(F.array(*(_between(*e) for e in ends)).alias("_p"))
+
+
+def _by_cells(present: DataFrame, large: DataFrame, probs: Sequence[float], grid: int) -> DataFrame:
+    """``_key, _p`` of large groups, in three passes.
+
+    A sketch of each group (bounded state, merged map-side) gives values that cut it into about ``grid`` cells;
+    the rows in each cell are counted, which says exactly in which cells the wanted ranks lie; the
+    values of these few cells are counted and read. A sketch that is far off makes cells uneven, not wrong.
+    """
+    cuts = F.percentile_approx("_v", F.lit(np.arange(grid + 1) / grid), ACCURACY)
+    # there are fewer than PIECES large groups
+    sketch = F.broadcast(present.join(large, "_key").groupBy("_key").agg(F.first("_n").alias("_n"), F.array_distinct(cuts).alias("_cuts")))
+    cell = F.size(F.filter("_cuts", lambda c: c <= F.col("_v")))
+    placed = present.join(sketch, "_key").select("_key", "_v", "_n", cell.alias("_cell"))
+    sizes = placed.groupBy("_key", "_n", "_cell").agg(F.count("*").alias("_size"), F.min("_v").alias("_from"), F.max("_v").alias("_till"))
+    up_to = F.sum("_size").over(Window.partitionBy("_key").orderBy("_cell"))
+    sizes = sizes.withColumn("_before", up_to - F.col("_size"))
+    ranks = F.array_distinct(F.flatten(F.array(*(F.array(_rank(p, F.col("_n"))["low"], _rank(p, F.col("_n"))["high"]) for p in probs))))
+    wanted = F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")))
+    cells = F.broadcast(sizes.filter(wanted).drop("_n", "_size"))
+    group = ["_key", "_n", "_cell", "_before"]
+    values = placed.join(cells, ["_key", "_cell"]).groupBy(*group, "_from", "_till", "_v").agg(F.count("*").alias("_c"))
+    width = (F.col("_till") - F.col("_from")) / F.lit(CELL_SLICES)
+    slice_no = F.when(width > 0, F.floor((F.col("_v") - F.col("_from")) / width)).otherwise(0)
+    ranked = running_sum(values.withColumnRenamed("_key", "_group"), "_v", "_c", ["_group", "_cell"], slice_no, "_in")
+    return _by_counts(ranked.select(F.col("_group").alias("_key"), "_v", "_c", "_n", (F.col("_before") + F.col("_in")).alias("_to")), probs)
+
+
 def percentiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
                 grid: int = GRID, also: Sequence[Column] = ()) -> DataFrame:
     """Exact linearly interpolated percentiles per key: (keys, n, p0, p1, ..., also).
 
-    A built-in exact percentile holds every distinct value of a group in one task. Here a
-    first pass sketches each group (bounded state, merged map-side) on a grid of ranks.
-    The sketch only brackets each wanted rank between two grid values; the second pass
-    counts what lies below a bracket and keeps the few values inside it, from which the
-    exact order statistics are read. A bracket that misses its rank raises an error.
+    A group with few distinct values, or of up to ``WHOLE`` rows or 1 / ``PIECES`` of all rows, is read from the counts of its
+    distinct values, which one task can hold. Larger ones are cut into cells by a sketch, and only the cells
+    that hold a wanted rank are read; the result is exact whatever the sketch says.
     ``also`` are further aggregates of the non-null ``value`` to take in the first pass.
     Not-a-number counts as null.
     """
     df = number_or_null(df, value)
-    points = F.expr(f"array({', '.join(f'{i / grid}D' for i in range(grid + 1))})")
-    present = df.filter(F.col(value).isNotNull()).select(*keys, value, F.col(value).cast("double").alias("_v"))
-    facts = F.struct(F.count("*").alias("n"), *also)
-    sketch = present.groupBy(*keys).agg(facts.alias("_f"), F.percentile_approx("_v", points, ACCURACY).alias("_g"))
-    n = F.col("_f.n")
-
-    def bracket(p: float) -> Column:
-        position = F.lit(float(p)) * (n - 1)
-        low = F.floor(position)
-        high = F.ceil(position)
-        cell = F.floor(low * F.lit(grid) / n).cast("int")
-        top = F.ceil(high * F.lit(grid) / n).cast("int")
-        return F.struct(
-            low.alias("low"),
-            high.alias("high"),
-            (position - low).alias("part"),
-            F.element_at("_g", F.greatest(cell - 1, F.lit(0)) + 1).alias("from"),
-            F.element_at("_g", F.least(top + 1, F.lit(grid)) + 1).alias("to"),
-        )
-
-    wanted = sketch.select(*keys, "_f", F.array(*(bracket(p) for p in probs)).alias("_b"))
-    if keys:
-        # one row per key: broadcast while small; else a hot key is split as a skewed join,
-        # which the exchange of the next aggregation allows
-        bracketed = join_null_safe(present, wanted, keys)
-    else:
-        bracketed = present.withColumn("_w", wanted.select(F.struct("_f", "_b")).scalar()).select("_v", "_w._f", "_w._b")
-
-    def cell(i: int) -> Column:
-        b = F.col("_b")[i]
-        value_in = F.when(F.col("_v") >= b["from"], F.col("_v"))
-        return F.when(F.col("_v") <= b["to"], F.struct(F.lit(i).alias("i"), value_in.alias("v"), b.alias("b")))
-
-    # rows bring their bracket along, so that it is joined once; those below it become one row
-    counted = (
-        bracketed.select(*keys, "_f", F.explode(F.array_compact(F.array(*(cell(i) for i in range(len(probs)))))).alias("_cell"))
-        .groupBy(*keys, "_f", "_cell").agg(F.count("*").alias("_c"))
-    )
-    cells = counted.select(*keys, "_f", F.col("_cell.i").alias("_i"), F.col("_cell.v").alias("_v"), F.col("_cell.b").alias("_b"), "_c")
-    # the null value stands for everything below the bracket; the rest is cut into slices
-    width = (F.col("_b.to") - F.col("_b.from")) / F.lit(BRACKET_SLICES)
-    slice_no = F.when(F.col("_v").isNull(), -1).when(width > 0, F.floor((F.col("_v") - F.col("_b.from")) / width)).otherwise(0)
-    ranked = running_sum(cells, "_v", "_c", [*keys, "_i"], slice_no, "_to")
-
-    def end(i: int, rank: str) -> Column:
-        inside = (F.col(f"_b.{rank}") < F.col("_to")) & (F.col(f"_b.{rank}") >= F.col("_to") - F.col("_c"))
-        return F.max(F.when((F.col("_i") == i) & inside, F.col("_v"))).alias(f"_{rank}{i}")
-
-    parts = [F.max(F.when(F.col("_i") == i, F.col("_b.part"))).alias(f"_part{i}") for i in range(len(probs))]
-    ends = [end(i, rank) for i in range(len(probs)) for rank in ("low", "high")]
-
-    def interpolated(i: int) -> Column:
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        missed = F.when(low.isNull() | high.isNull(), F.raise_error(F.lit("percentile bracket missed")))
-        return missed.otherwise(low + (high - low) * F.col(f"_part{i}")).alias(f"p{i}")
-
-    found = ranked.groupBy(*keys, "_f").agg(*parts, *ends)
-    return found.select(*keys, "_f.*", *(interpolated(i) for i in range(len(probs))))
+    # without keys all rows share one that Spark can't fold, so that joins on it stay joins
+    key = F.struct(*keys) if keys else F.struct(F.pmod(F.xxhash64(value), F.lit(1)).alias("all"))
+    present = df.filter(F.col(value).isNotNull()).select(key.alias("_key"), value, F.col(value).cast("double").alias("_v"))
+    facts = present.groupBy("_key").agg(F.struct(F.count("*").alias("n"), *also).alias("_f"), F.approx_count_distinct("_v").alias("_d"))
+    present = present.select("_key", "_v")
+    sizes = facts.select("_key", F.col("_f.n").alias("_n"), "_d")
+    whole = F.greatest(F.lit(WHOLE), F.ceil(sizes.agg(F.sum("_n")).scalar() / sequences.PIECES))
+    large = F.broadcast(sizes.filter((F.col("_d") > WHOLE) & (F.col("_n") > whole)).select("_key", "_n"))
+
+    small = present.join(large, "_key", "left_anti").groupBy("_key", "_v").agg(F.count("*").alias("_c"))
+    group = Window.partitionBy("_key")
+    up_to = {"_to": F.sum("_c").over(group.orderBy("_v")), "_n": F.sum("_c").over(group)}
+    found = _by_counts(small.withColumns(up_to), probs).unionByName(_by_cells(present, large, probs, grid))
+    joined = facts.select("_key", "_f").join(found, "_key")
+    return joined.select(*(F.col(f"_key.{k}").alias(k) for k in keys), "_f.*", *(F.col("_p")[i].alias(f"p{i}") for i in range(len(probs))))
 
 
 def describe(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
