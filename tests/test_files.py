@@ -1,4 +1,5 @@
 import json
+import os
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -167,6 +168,19 @@ def test_combined_document(spark, tmp_path):
     assert [r["id"] for r in document["all"]] == list(range(150_000)) and document["none"] == [] and len(document["again"]) == 1
 
 
+def test_parts_are_the_document_until_they_are_joined(spark, tmp_path, monkeypatch):
+    """Rows pass this process in the call that joins parts only; the joined file is the document."""
+    monkeypatch.setattr(out, "_parts", lambda *_: pytest.fail("rows went through the driver"))
+    report = spark.range(0, 5000, 1, 6).select("id", F.lit(None).cast("string").alias("nothing"))
+    out.combined_json({"a": report, "b": report.limit(1)}, str(tmp_path / "doc"))
+    monkeypatch.undo()
+    parts = sorted(f for f in os.listdir(tmp_path / "doc") if f.startswith("part-"))
+    text = "".join((tmp_path / "doc" / f).read_text() for f in parts)
+    assert [r["id"] for r in json.loads(text)["a"]] == list(range(5000)) and json.loads(text)["b"] == [{"id": 0, "nothing": None}]
+    out.join_parts(spark, str(tmp_path / "doc"), str(tmp_path / "one.json"))
+    assert (tmp_path / "one.json").read_text() == text
+
+
 def test_combined_xml_has_the_report_shape(spark, tmp_path):
     gaps = spark.createDataFrame([(213, "Room #213", 115), (83, "Room <83>", 115)], "id int, name string, age_diff int")
     out.combined_xml({"rooms_max_age_diff": gaps, "rooms_mixed_gender": gaps.select("id")}, str(tmp_path / "x"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,28 @@ def film_not_in_stock(inventory: DataFrame, rentals: DataFrame, film, store, fil
     return not_in_stock(copies, rentals, item, returned).select(*item)
 
 
+def stock_functions(inventory: DataFrame, rentals: DataFrame, film_col: str, store_col: str, item: Sequence[str], returned: str) -> None:
+    """Makes ``film_in_stock(film, store)`` and ``film_not_in_stock(film, store)`` known to SQL of the session.
+
+    They return a table of items and are planned into the query that calls them: a lateral call for many
+    films becomes one join, not a lookup per film. The tables are those given here, under names of their own.
+    """
+    spark = inventory.sparkSession
+    names = [f"{kind}_{uuid.uuid4().hex}" for kind in ("copies", "held")]
+    inventory.select(F.col(film_col).alias("film_id"), F.col(store_col).alias("store_id"), *item).createOrReplaceTempView(names[0])
+    out_items(rentals, item, returned).createOrReplaceTempView(names[1])
+    columns = ", ".join(f"`{c}` {inventory.schema[c].dataType.simpleString()}" for c in item)
+    film, store = (inventory.schema[c].dataType.simpleString() for c in (film_col, store_col))
+    held = " AND ".join(f"h.`{c}` = c.`{c}`" for c in item)
+    chosen = ", ".join(f"c.`{c}`" for c in item)
+    for name, test in (("film_in_stock", "NOT EXISTS"), ("film_not_in_stock", "EXISTS")):
+        spark.sql(
+            f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(film {film}, store {store}) RETURNS TABLE ({columns})
+                RETURN SELECT {chosen} FROM {names[0]} c WHERE c.film_id = {name}.film AND c.store_id = {name}.store
+                       AND {test} (SELECT 1 FROM {names[1]} h WHERE {held})"""
+        )
+
+
 def customer_balance(customers: DataFrame, rentals: DataFrame, payments: DataFrame, as_of: Column,
                      replacement: bool = False) -> DataFrame:
     """Balance of every customer at a date: rental fees + late fees - payments.

@@ -113,3 +113,22 @@ def film_in_stock(t):
 )
 def film_not_in_stock(t):
     return labelled(rn.film_not_in_stock(inventory(t), copies(t), 7, 3, "l_partkey", "l_linenumber", ITEM, "return_date"))
+
+
+@query(
+    """SELECT l_partkey AS film, l_linenumber AS store, count(*) FILTER (held = 0) AS in_stock, count(*) FILTER (held > 0) AS out
+       FROM (SELECT l_partkey, l_linenumber, l_suppkey, count(*) FILTER (l_linestatus = 'O') AS held FROM lineitem GROUP BY ALL)
+       GROUP BY ALL"""
+)
+def stock_by_film(t):
+    """How many items of each film a store has and lacks, by lateral calls of the table functions for all films."""
+    rn.stock_functions(inventory(t), copies(t), "l_partkey", "l_linenumber", ITEM, "return_date")
+    inventory(t).select("l_partkey", "l_linenumber").distinct().createOrReplaceTempView("films_and_stores")
+    return t.spark.sql(
+        """SELECT film, store, count_if(here) AS in_stock, count_if(NOT here) AS out FROM (
+             SELECT f.l_partkey AS film, f.l_linenumber AS store, true AS here
+             FROM films_and_stores f, LATERAL film_in_stock(f.l_partkey, f.l_linenumber)
+             UNION ALL
+             SELECT f.l_partkey, f.l_linenumber, false FROM films_and_stores f, LATERAL film_not_in_stock(f.l_partkey, f.l_linenumber))
+           GROUP BY film, store"""
+    )

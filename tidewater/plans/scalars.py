@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import dates, text, values
+from tidewater.operators import postings
 from tidewater.operators import validation as va
 from tidewater.operators.joins import not_in as not_in_rows
 from tidewater.operators.purchases import preview
 from tidewater.operators.warehouse import calendar as calendar_rows
 from tidewater.registry import query
+from tidewater.sources.layouts import layout
 
 AS_OF = "2002-02-28"
 
@@ -174,6 +176,23 @@ def row_policy(t):
        WHERE list_contains(w, 'the') AND list_contains(w, 'and')"""
 )
 def token_search(t):
+    """Both words are looked up in a table of posting lists, which is written once."""
+
+    def build(path):
+        postings.write_postings(t.documents, "doc_id", [F.col("source"), F.col("text")], path)
+
+    path = layout(t, "postings", build)
+    lists = t.spark.read.schema("term string, block int, docs array<bigint>, bucket int").parquet(path)
+    return postings.with_all_terms(lists, ["the", "and"], "doc_id")
+
+
+@query(
+    """SELECT doc_id FROM (SELECT doc_id, string_split_regex(lower(concat_ws(' ', source, text)), '[^\\p{L}\\p{N}]+') AS w
+                           FROM documents)
+       WHERE list_contains(w, 'the') AND list_contains(w, 'and')"""
+)
+def token_scan(t):
+    """The same by a look at every text."""
     found = text.mentions_all_terms(["the", "and"], F.col("source"), F.col("text"))
     return t.documents.filter(found).select("doc_id")
 

@@ -41,59 +41,61 @@ def export_reports(reports: Mapping[str, DataFrame], path: str, kind: str) -> No
         write(df, path, name)
 
 
-def _copy(spark: SparkSession, pieces: Sequence[str | list[str]], target: str) -> None:
-    """Joins texts and files, in order, to one file of the target folder's file system, some KB at a time.
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    """The files of a written folder that are not empty, in the order of the rows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(f.getPath().toString() for f in found if f.getPath().getName().startswith("part-") and f.getLen())
 
-    Of files that follow each other, the first character is left out: it separates what comes before.
-    """
+
+def join_parts(spark: SparkSession, folder: str, target: str) -> None:
+    """The parts of a document as one file, for who needs one: copied in order by this process, some KB at a time."""
     hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
     path = hadoop.fs.Path(target)
-    system = path.getFileSystem(conf)
-    system.delete(path.getParent(), True)
-    out = system.create(path, True)
+    out = path.getFileSystem(conf).create(path, True)
     try:
-        for piece in pieces:
-            if isinstance(piece, str):
-                out.write(bytearray(piece.encode()))
-                continue
-            for number, name in enumerate(piece):
-                source = system.open(hadoop.fs.Path(name))
-                try:
-                    if number == 0:
-                        source.skip(1)
-                    hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
-                finally:
-                    source.close()
+        for name in _parts(spark, folder):
+            source = hadoop.fs.Path(name).getFileSystem(conf).open(hadoop.fs.Path(name))
+            try:
+                hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+            finally:
+                source.close()
     finally:
         out.close()
 
 
-def _parts(spark: SparkSession, folder: str) -> list[str]:
-    """The files of a written folder that are not empty, in the order of the rows."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return sorted(f.getPath().toString() for f in found if f.getPath().getName().startswith("part-") and f.getLen())
-
-
 def _combined(reports: Mapping[str, DataFrame], path: str, row: Callable[[DataFrame], Column], around: Callable[[str], tuple[str, str]],
               ends: tuple[str, str], between: str) -> None:
-    """One document of all reports. Rows are written by Spark as parts, which are then joined to a file."""
+    """One document of all reports: the parts of the folder, in the order of their names.
+
+    Rows are numbered in their order and written down first, so that the number a row has stays; the
+    least number of a report says which of its rows no separator goes before. Then rows and the texts
+    around them are sorted by report and number, which Spark does by ranges: no process sees all rows.
+    """
     spark = next(iter(reports.values())).sparkSession
     staging = f"{shared_folder(spark)}/combined-{uuid.uuid4().hex}"
-    pieces: list[str | list[str]] = [ends[0]]
+    last = 2**63 - 1
+    texts = [(-1, -1, ends[0])]
     for number, (name, df) in enumerate(reports.items()):
         plain = decimals_to_double(df)
-        lines = plain.select(F.concat(F.lit(between or "\n"), row(plain)).alias("value"))
-        lines.write.option("lineSep", "\n" if between else " ").text(f"{staging}/{number}")
+        lines = plain.select(F.lit(number).alias("report"), F.monotonically_increasing_id().alias("at"), row(plain).alias("text"))
+        lines.write.mode("append").parquet(staging)
         opened, closed = around(name)
-        pieces += [("," if number and between else "") + opened, _parts(spark, f"{staging}/{number}"), closed]
-    _copy(spark, [*pieces, ends[1]], f"{path}/part-00000.txt")
+        texts += [(number, -1, (between if number else "") + opened), (number, last, closed)]
+    texts.append((len(reports), 0, ends[1]))
+    schema = "report int, at long, text string"
+    rows = spark.read.schema(schema).parquet(staging)
+    # one row per report
+    first = F.broadcast(rows.groupBy("report").agg(F.min("at").alias("first")))
+    parted = rows.join(first, "report").select("report", "at", F.when(F.col("at") > F.col("first"), F.concat(F.lit(between), "text")).otherwise(F.col("text")).alias("text"))
+    document = parted.unionByName(spark.createDataFrame(texts, schema)).orderBy("report", "at")
+    document.select(F.col("text").alias("value")).write.mode("overwrite").text(path)
     root = spark._jvm.org.apache.hadoop.fs.Path(staging)
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def combined_json(reports: Mapping[str, DataFrame], path: str) -> None:
-    """Reports as one document ``{report: [rows]}`` in one file; rows keep the order of their frame."""
+    """Reports as one document ``{report: [rows]}``, whose parts are the files of a folder; rows keep the order of their frame."""
     def row(df: DataFrame) -> Column:
         return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
 
@@ -101,11 +103,11 @@ def combined_json(reports: Mapping[str, DataFrame], path: str) -> None:
 
 
 def combined_xml(reports: Mapping[str, DataFrame], path: str, root: str = "student_analysis") -> None:
-    """Reports as one document in one file: the root holds an element per report, with an ``item`` per row."""
+    """Reports as one document, whose parts are the files of a folder: the root holds an element per report, with an ``item`` per row."""
     def row(df: DataFrame) -> Column:
         return F.to_xml(F.struct(*df.columns), {"rowTag": "item"})
 
-    _combined(reports, path, row, lambda name: (f"<{name}>\n", f"</{name}>\n"), (f"<{root}>\n", f"</{root}>\n"), "")
+    _combined(reports, path, row, lambda name: (f"<{name}>", f"</{name}>"), (f"<{root}>", f"</{root}>"), "")
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
