@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import folder, keep
+from tidewater.llm.common import folder, keep, shuffles_freed
 
 #: A passage is removed if it is covered by strings of so many bytes that start earlier too.
 LENGTH = 100
@@ -224,7 +224,8 @@ def _batches(docs: DataFrame, id_col: str, text_col: str, batch: int) -> tuple[D
     )
     name = f"batches_{uuid.uuid4().hex}"
     writer = placed.write.bucketBy(ranges, "batch").option("path", folder(spark, "batches")).option("compression", "zstd")
-    writer.saveAsTable(name)
+    with shuffles_freed(spark):
+        writer.saveAsTable(name)
     return spark.table(name), total
 
 
@@ -266,7 +267,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
     """
     table, total = _batches(docs, id_col, text_col, batch)
     bits = max(0, ceil(log2(max(1, total * len(COVER) / PERIOD / bucket))))
-    copies = keep(_copies(table), "copies")
+    with shuffles_freed(docs.sparkSession):
+        copies = keep(_copies(table), "copies")
 
     def by_batch(notes: DataFrame, work, schema: str) -> DataFrame:
         return table.groupBy("batch").cogroup(notes.groupBy("batch")).applyInArrow(work, schema)
@@ -285,9 +287,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
     def told(lists: DataFrame, kind: int, width: int, earlier: bool) -> DataFrame:
         return lists.groupBy("bucket").applyInArrow(_noted(kind, width, earlier), NOTE)
 
-    named = keep(told(by_batch(copies, names, LIST), NAMES, NAME, False), "names")
-    notes = copies.union(named)
-    compared = keep(told(by_batch(notes, windows, LIST), WINDOWS, 8, True), "windows")
+    with shuffles_freed(docs.sparkSession):
+        named = keep(told(by_batch(copies, names, LIST), NAMES, NAME, False), "names")
+        notes = copies.union(named)
+        compared = keep(told(by_batch(notes, windows, LIST), WINDOWS, 8, True), "windows")
     return by_batch(notes.union(compared), clean, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
