@@ -372,6 +372,19 @@ def test_mix_reaches_targets(spark):
     assert len(got) == 3 and all(abs(r.taken - r.target) <= 25 for r in got)
 
 
+def test_mixed_rows_take_the_words_of_the_mix(spark):
+    """Ids repeat over sources and a third is missing; each row goes as often as the mix says, not as its id's others."""
+    rows = [(None if i % 3 == 0 else i % 300, "w " * (5 + i % 40), [None, "a", "a", "b", "c"][i % 5], i) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    words = F.size(F.split(F.trim("text"), " "))
+    got = {r.source: r.n for r in mixing.mixed(docs).groupBy("source").agg(F.sum(words).alias("n")).collect()}
+    sizes = docs.groupBy("source").agg(F.sum(words).alias("source_size"))
+    for r in mixing.targets(sizes).collect():
+        # rows with one id share a number: they go together where the sample ends
+        assert abs(got[r.source] - r.target) <= 45
+    assert mixing.mixed(docs).columns == docs.columns
+
+
 def test_targets(spark):
     """A source that stops at three times its size leaves its excess to the others by weight."""
     sizes = spark.createDataFrame([("a", 10), ("b", 500), ("c", 490), (None, 0)], "source string, source_size long")

@@ -55,8 +55,9 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    rows_too: bool = False,
 ) -> DataFrame:
-    """How often each document is taken: ``doc_id, size, source_size, target, taken, copies``.
+    """How often each document is taken: ``doc_id, size, source_size, target, taken, copies``, and the row itself as ``row`` if ``rows_too``.
 
     ``target / source_size`` is the expected number of copies of a document. Its whole part is
     certain; the rest is its inclusion probability p in a sample of fixed size in words. Documents
@@ -72,10 +73,11 @@ def mix(
     without words takes nothing. Other columns are not read. An empty table gives an empty one.
     """
     size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
+    row = [F.struct("*").alias("row")] if rows_too else []
     sized = keep(
         docs.select(
             F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"),
-            uniform(F.col(f"`{id_col}`"), seed).alias("u"),
+            uniform(F.col(f"`{id_col}`"), seed).alias("u"), *row,
         ),
         "sizes",
     )
@@ -124,18 +126,14 @@ def mix(
     )
     return whole.unionByName(last).select(
         "doc_id", "size", "source_size", "target", ((F.col("certain") + F.col("more")) * F.col("size")).alias("taken"),
-        (F.col("certain") + F.col("more")).alias("copies"),
+        (F.col("certain") + F.col("more")).alias("copies"), *(["row"] if rows_too else []),
     )
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` as often as :func:`mix` takes them, all columns as they are."""
-    taken = mix(docs, id_col=id_col, **options).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    # rows that share an id are all taken as often as the first of them
-    taken = taken.groupBy("__id").agg(F.max("copies").alias("__copies"))
-    rows = docs.join(taken, docs[f"`{id_col}`"].eqNullSafe(taken["__id"]))
-    repeated = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return repeated.drop("__id", "__copies", "__copy")
+    taken = mix(docs, id_col=id_col, rows_too=True, **options).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 SQL = """
