@@ -80,10 +80,20 @@ def customer_balance(customers: DataFrame, rentals: DataFrame, payments: DataFra
     if replacement:
         lost = overdue > F.col("rental_duration") * 2
         charge = charge + F.when(lost, F.col("replacement_cost")).otherwise(0)
-    charges = rentals.filter(F.col("rental_date") <= as_of).groupBy("customer_id").agg(F.sum(units(charge)).alias("_charged"))
-    paid = payments.filter(F.col("payment_date") <= as_of).groupBy("customer_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
+    charged, paid = F.sum(units(charge)).alias("_charged"), F.sum(units(F.col("amount"))).alias("_paid")
+    if rentals is payments:
+        # one table holds both: it is read and summed once
+        due = F.when(F.col("rental_date") <= as_of, units(charge))
+        come = F.when(F.col("payment_date") <= as_of, units(F.col("amount")))
+        sums = [rentals.groupBy("customer_id").agg(F.sum(due).alias("_charged"), F.sum(come).alias("_paid"))]
+    else:
+        charges = rentals.filter(F.col("rental_date") <= as_of).groupBy("customer_id").agg(charged)
+        sums = [charges, payments.filter(F.col("payment_date") <= as_of).groupBy("customer_id").agg(paid)]
+    found = customers.select("customer_id")
+    for part in sums:
+        found = found.join(part, "customer_id", "left")
     return (
-        customers.select("customer_id").join(charges, "customer_id", "left").join(paid, "customer_id", "left")
+        found
         .select("customer_id", from_units(F.coalesce("_charged", F.lit(0)) - F.coalesce("_paid", F.lit(0))).alias("balance"))
     )
 

@@ -87,7 +87,7 @@ def _spans(summaries: DataFrame) -> DataFrame:
     return summaries.withColumn("_span", F.floor(F.col("_slice") / F.lit(SPAN)))
 
 
-def _sum_before(summaries: DataFrame, sequence: Sequence[str], value: Column, alias: str) -> DataFrame:
+def sum_before(summaries: DataFrame, sequence: Sequence[str], value: Column, alias: str) -> DataFrame:
     """Adds the sum of ``value`` over the earlier slices of the sequence, 0 for the first."""
     valued = _spans(summaries).withColumn("_value", value)
     across = Window.partitionBy(*sequence).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +115,7 @@ def running_sum(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
     """Sum of ``value`` over all rows of the key up to the current one, peers included."""
     sliced, sequence, piece = _sliced(df, order, keys, part)
     totals = sliced.filter("_cut").groupBy(*piece).agg(F.sum(value).alias("_total"))
-    bases = _sum_before(totals, sequence, F.col("_total"), "_base").select(*piece, "_base")
+    bases = sum_before(totals, sequence, F.col("_total"), "_base").select(*piece, "_base")
     inside = Window.partitionBy(*piece).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
     rows = sliced.withColumn("_inside", F.sum(value).over(inside))
     return (
@@ -164,7 +164,7 @@ def run_lengths(df: DataFrame, order: str, value: str, keys: Sequence[str] = (),
         F.max_by(value, "_inner").alias("_last"),
         F.first("_size").alias("_size"),
     )
-    # inside a span, then from span to span, as in _sum_before
+    # inside a span, then from span to span, as in sum_before
     within = Window.partitionBy(*sequence, "_span").orderBy("_slice")
     near = _spans(ends).withColumn("_earlier", F.lag(F.struct("_last")).over(within))
     near = near.withColumn("_continues", F.coalesce(F.col("_earlier._last").eqNullSafe(F.col("_first")) & F.col("_earlier").isNotNull(), F.lit(False)).cast("int"))

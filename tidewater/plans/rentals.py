@@ -24,6 +24,20 @@ def rentals(t):
     )
 
 
+def ledger(t):
+    """Rentals and payments of one line beside each other."""
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("rental_date"),
+        F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("return_date"),
+        F.col("p_retailprice").alias("rental_rate"),
+        F.col("p_size").alias("rental_duration"),
+        F.col("l_extendedprice").alias("amount"),
+        F.col("l_shipdate").alias("payment_date"),
+    )
+
+
 def payments(t):
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
@@ -66,7 +80,8 @@ def inventory(t):
 )
 def customer_balance(t):
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    balances = rn.customer_balance(customers(t), rentals(t), payments(t), as_of)
+    both = ledger(t)
+    balances = rn.customer_balance(customers(t), both, both, as_of)
     return balances.withColumn("balance", F.round("balance", 2))
 
 
