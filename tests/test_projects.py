@@ -44,7 +44,7 @@ def test_room_reports_are_exported(dorm, tmp_path):
     for kind in ("json", "xml"):
         export_reports(reports, str(tmp_path / kind), kind)
     combined_json(reports, str(tmp_path / "all"))
-    document = json.loads("".join(f.read_text() for f in (tmp_path / "all").glob("part-*")))
+    document = json.loads("".join(f.read_text() for f in sorted((tmp_path / "all").glob("part-*"))))
     assert document["rooms_mixed_gender"] == [{"id": 1, "name": "Room #1"}] and len(document) == 4
 
 
