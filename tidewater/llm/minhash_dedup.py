@@ -27,6 +27,8 @@ POSITIONS = CHUNKS * WIDTH
 #: Words whose hashes a task remembers, and shingles hashed at once; they bound memory only.
 REMEMBERED, BLOCK = 200_000, 1 << 15
 
+#: Bands of sizes for each power of e.
+BANDS = 32
 #: Rounds in which components that meet are tried by one pair; what is left is tried in full.
 ROUNDS = 2
 
@@ -155,13 +157,38 @@ def _long_enough(left_a: str, left_b: str, size_a: str, size_b: str) -> Column:
     return (100 + SIMILARITY) * F.least(left_a, left_b) >= SIMILARITY * (F.col(size_a) + F.col(size_b))
 
 
+def _band(n: Column) -> Column:
+    """Sizes that differ by 3 % or less, mostly, share a band; larger sizes have no lower one."""
+    return F.floor(F.log(n) * BANDS)
+
+
+def _furthest(left: str, n: str) -> Column:
+    """The size up to which a set may link with one of n shingles of which ``left`` are still to come."""
+    return ((100 + SIMILARITY) * F.col(left) - SIMILARITY * F.col(n)) / SIMILARITY
+
+
 def _meetings(first: DataFrame) -> DataFrame:
-    """Pairs of components that a link may join, by shingle, and the member of either with most to come."""
+    """Pairs of components that a link may join, by shingle and bands of sizes, and the member of either with most to come.
+
+    The bounds on sizes and on what is to come are part of the join key, so a passage that very many
+    documents share makes rows only for sizes at which a link is still possible.
+    """
     most = F.max(F.struct("left", "id"))
-    meeting = keep(first.groupBy("h", "component").agg(most.alias("m"), F.min("n").alias("n")), "meeting")
-    meeting = meeting.select("h", "component", F.col("m.left").alias("left"), F.col("m.id").alias("id"), "n")
-    one, other = meeting.toDF("h", "ca", "most_a", "a", "least_a"), meeting.toDF("h", "cb", "most_b", "b", "least_b")
-    return one.join(other, "h").where((F.col("ca") < F.col("cb")) & _long_enough("most_a", "most_b", "least_a", "least_b"))
+    grouped = first.groupBy("h", "component", _band(F.col("n")).alias("band"))
+    meeting = keep(grouped.agg(most.alias("m"), F.min("n").alias("n"), F.max("n").alias("largest")), "meeting")
+    several = meeting.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("h")
+    meeting = meeting.join(several, "h").select("h", "component", "band", F.col("m.left").alias("left"), F.col("m.id").alias("id"), "n", "largest")
+    meeting = keep(meeting.withColumn("limit", _band(_furthest("left", "n"))), "meeting")
+    # a link's smaller set knows the bands above its own, its larger set those below
+    up = F.least("limit", _band(100 * F.col("largest") / SIMILARITY))
+    down = _band(SIMILARITY * F.col("n") / 100)
+    small = meeting.where(up >= F.col("band")).select("h", "component", "left", "id", "n", "band", F.explode(F.sequence("band", up)).alias("other"))
+    high = F.least("limit", "band")
+    large = meeting.where(high >= down).select("h", "component", "left", "id", "n", F.explode(F.sequence(down, high)).alias("other"), "band")
+    one = small.toDF("h", "ca", "most_a", "a", "least_a", "band_a", "band_b")
+    met = one.join(large.toDF("h", "cb", "most_b", "b", "least_b", "band_a", "band_b"), ["h", "band_a", "band_b"])
+    once = (F.col("ca") < F.col("cb")) | ((F.col("band_a") < F.col("band_b")) & (F.col("ca") > F.col("cb")))
+    return met.where(once & _long_enough("most_a", "most_b", "least_a", "least_b"))
 
 
 def _between(first: DataFrame) -> DataFrame:
@@ -171,12 +198,22 @@ def _between(first: DataFrame) -> DataFrame:
     with itself.
     """
     pairs = _meetings(first).drop("a", "b")
-    a = first.select("h", *[F.col(c).alias(n) for c, n in (("id", "a"), ("component", "ca"), ("n", "na"), ("left", "la"))])
-    b = first.select("h", *[F.col(c).alias(n) for c, n in (("id", "b"), ("component", "cb"), ("n", "nb"), ("left", "lb"))])
+    sized = first.withColumn("band", _band(F.col("n")))
+    a, b = (
+        sized.select("h", *[F.col(c).alias(n + x) for c, n in (("id", ""), ("component", "c"), ("n", "n"), ("left", "l"), ("band", "band_"))])
+        for x in "ab"
+    )
     sizes = 100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")
-    some = pairs.join(a, ["h", "ca"]).where(_long_enough("la", "most_b", "na", "least_b")).select("h", "ca", "cb", "a", "na", "la")
-    met = some.join(b, ["h", "cb"]).where(sizes & _long_enough("la", "lb", "na", "nb"))
-    return keep(met.groupBy("a", "b", "ca", "cb").agg(F.count("*").alias("shared")), "between")
+    some = pairs.join(a, ["h", "ca", "band_a"]).where(_long_enough("la", "most_b", "na", "least_b")).select("h", "ca", "cb", "band_b", "a", "na", "la")
+    met = some.join(b, ["h", "cb", "band_b"]).where(sizes & _long_enough("la", "lb", "na", "nb"))
+    return keep(_ordered(met).groupBy("a", "b", "ca", "cb").agg(F.count("*").alias("shared")), "between")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """The pairs with the smaller component as ``ca``."""
+    turned = F.col("ca") > F.col("cb")
+    sides = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("ca", "cb"), ("cb", "ca"), ("a", "b"), ("b", "a"))]
+    return pairs.select(*sides, *[c for c in pairs.columns if c not in ("ca", "cb", "a", "b")])
 
 
 def _closest(pairs: DataFrame, by: str) -> DataFrame:
@@ -217,7 +254,7 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str)
     open_ = keep(placed.join(mixed, "key").select("id", "component").distinct(), "open")
     first = _first_shingles(open_, sets)
     for _ in range(ROUNDS):
-        met = _meetings(first).withColumn("shared", F.least("most_a", "most_b"))
+        met = _ordered(_meetings(first)).withColumn("shared", F.least("most_a", "most_b"))
         more = _links(_closest(met, "shared"), sets)
         if more.isEmpty():
             break
