@@ -16,13 +16,20 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 #: Elements that are never part of an article.
 DROPPED = RAW | {
     "head", "nav", "aside", "footer", "form", "button", "select", "option", "label", "fieldset", "input", "menu", "dialog",
-    "object", "embed", "applet", "canvas", "audio", "video", "svg", "math", "map", "datalist", "output", "progress",
+    "object", "embed", "applet", "canvas", "audio", "video", "svg", "map", "datalist", "output", "progress", "annotation", "annotation-xml",
 }
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
     "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-    "var", "wbr",
+    "var", "wbr", "label", "math", "menclose", "merror", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom",
+    "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder",
+    "munderover", "semantics",
 }
+#: Elements that may stand within a paragraph, though their content is no part of it.
+WITHIN = {"annotation", "annotation-xml", "audio", "button", "canvas", "datalist", "embed", "iframe", "input", "map", "noembed", "noscript",
+          "object", "output", "progress", "script", "select", "style", "svg", "template", "textarea", "video"}
+#: Where looking for an open paragraph stops.
+STOPS = WITHIN | {"td", "th", "li", "div", "article", "section", "table"}
 #: What a start tag ends if it is still open, and where looking for it stops.
 ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -55,8 +62,12 @@ LINKED = 0.25
 #: Paragraphs shorter than this don't score; they are kept like others if their container is.
 SCORED = 25
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A quote opens a string only after an equals sign, and only if what follows its end can follow a string.
+_STRING = r"=\s*(?:\"[^\"]*\"|'[^']*')(?=[\s/>]|\Z)"
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>=]++|{_STRING}|=)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL
+)
+_ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -92,7 +103,7 @@ def _is_menu(attributes: str) -> bool:
 
 def _is_beside(name: str, attributes: str) -> bool:
     """Whether an element's name or attributes say that it is not part of the article."""
-    if name in DROPPED:
+    if name in DROPPED and name != "label":
         return True
     if not attributes.strip():
         return False
@@ -136,12 +147,12 @@ def parse(html: str, by_name: bool = True) -> Node:
             if above.parent is not None:
                 node = above.parent
             continue
-        if name not in INLINE:  # a block ends an open paragraph
-            node = _close(node, {"p", *HEADINGS} if name == "p" or name in HEADINGS else {"p"}, {"td", "th", "li", "div", "article", "section", "table"})
+        if name not in INLINE and name not in WITHIN:  # a block ends an open paragraph
+            node = _close(node, {"p", *HEADINGS} if name == "p" or name in HEADINGS else {"p"}, STOPS)
         if name in ENDS:
             node = _close(node, *ENDS[name])
         attributes = token["attributes"] if by_name else ""
-        new = Node(name, node, _is_beside(name, attributes), _is_menu(attributes))
+        new = Node(name, node, _is_beside(name, attributes) or (name == "label" and not _in_paragraph(node)), _is_menu(attributes))
         if name in WHOLE or name == "header":
             above = node
             while above is not None and above.name not in WHOLE:
@@ -168,6 +179,28 @@ def _close(node: Node, names: set[str], stops: set[str]) -> Node:
     return node
 
 
+def _in_paragraph(node: Node | None) -> bool:
+    while node is not None and node.name in INLINE:
+        node = node.parent
+    return node is not None and node.name in {"p", *HEADINGS}
+
+
+def _page_forms(root: Node) -> None:
+    """A form around the page is a box: outside articles, with more text in scored paragraphs than there is elsewhere."""
+    outside = -1
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.name == "form" and node.beside:
+            if outside < 0:
+                outside = sum(len(text) for _, text, _ in paragraphs(root))
+            if sum(len(text) for _, text, _ in paragraphs(node) if len(text) >= SCORED) > outside:
+                node.beside = False
+                return
+        elif not node.beside and node.name not in WHOLE:
+            stack.extend(c for c in node.children if isinstance(c, Node) and (c.name == "form" or not c.beside))
+
+
 def walk(root: Node, out: set[int] | None = None) -> Iterator[tuple[Node, Node | str, bool]]:
     """Texts and ends of elements in page order: (element, text or the element again, inside a link)."""
     stack: list[tuple[Node, int, bool]] = [(root, 0, root.name == "a")]
@@ -254,10 +287,12 @@ def _in_whole(node: Node | None) -> bool:
 
 def main_text(html: str | None) -> str:
     """The text of the best container and of those siblings that belong to it."""
-    return _best_text(parse(html or "")) or _best_text(parse(html or "", by_name=False))
+    return _best_text(html or "") or _best_text(html or "", by_name=False)
 
 
-def _best_text(root: Node) -> str:
+def _best_text(html: str, by_name: bool = True) -> str:
+    root = parse(html, by_name)
+    _page_forms(root)
     candidates = score(root)
     best = max(candidates, key=lambda n: n.score, default=None)
     top = best
@@ -268,7 +303,7 @@ def _best_text(root: Node) -> str:
         top = top or next((c for _, c, _ in walk(root) if isinstance(c, Node) and c.name in WHOLE), root)
     out = _menus(root)
     if top is not None:
-        return _text(top, out - {id(top)})
+        return "\n".join(text for text in (_text(whole, out - {id(whole)}) for whole in _alongside(top)) if text)
     while best.parent is not None and best.parent.size == best.size:
         best = best.parent  # a box around the container alone
     if best.parent is None:
@@ -276,6 +311,14 @@ def _best_text(root: Node) -> str:
     return _text(best.parent, (out | _strangers(best)) - {id(best), id(best.parent)}, best.parent)
 
 
+def _alongside(top: Node) -> list[Node]:
+    """An article and those beside it that are not links for the most part, in page order."""
+    if top.name != "article" or top.parent is None:
+        return [top]
+    others = (n for n in top.parent.children if isinstance(n, Node))
+    return [n for n in others if n is top or (n.name == "article" and not n.beside and n.link_density() < LINKED)]
+
+
 def _text(root: Node, out: set[int], above: Node | None = None) -> str:
     """The blocks of text, one a line; those that stand directly in ``above`` only if few of them are links."""
     return "\n".join(text for node, text, linked in paragraphs(root, out) if linked < LINKED * len(text) or not _directly(node, above))
