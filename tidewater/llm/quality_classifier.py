@@ -163,8 +163,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     few = F.broadcast(chosen[0].union(chosen[1]).withColumnRenamed("doc_id", "of"))
     read = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = read.join(few, F.col("id") == F.col("of")).select("good", "place", "text").mapInArrow(_packed, "good boolean, place long, bits binary")
-    # rows that repeat an id would pass the bound
-    table = rows.dropDuplicates(["place"]).toArrow().sort_by("place").to_pydict()
+    # rows that repeat an id would pass the bound; of those the text whose n-grams are least stays
+    table = rows.groupBy("place").agg(F.min("good").alias("good"), F.min("bits").alias("bits")).toArrow().sort_by("place").to_pydict()
     unpacked = [np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(b), np.uint8))) for b in table["bits"]]
     return fit(unpacked, np.array(table["good"], bool), 0.5 if share is None else share)
 
