@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
-#: Segments and pairs of pieces that a task remembers; it bounds memory only.
-REMEMBERED = 300_000
+#: Segments and pairs of pieces that a task remembers, and the characters of all of them; they bound memory only.
+REMEMBERED, CHARACTERS = 300_000, 1 << 23
 #: Cost of a character without a piece.
 UNREAD = 1e3
 
@@ -94,12 +94,16 @@ class Remembered(dict):
     """Values by key, computed when missing. When full, what was not asked for since it last was goes."""
 
     def __init__(self, compute):
-        self.compute, self.older = compute, {}
+        self.compute, self.older, self.characters = compute, {}, 0
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
+        size = len(key)
+        if size > CHARACTERS // 64:  # so long a segment hardly comes again
+            return self.compute(key)
+        if len(self) >= REMEMBERED or self.characters + size > CHARACTERS:
+            self.older, self.characters = dict(self), 0
             self.clear()
+        self.characters += size
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
