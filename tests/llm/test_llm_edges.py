@@ -113,6 +113,27 @@ def test_links_between_different_components_of_a_key(spark):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute.near_duplicates(rows)
 
 
+def test_a_shared_template_without_links_makes_no_pairs(spark, monkeypatch):
+    """124 common and 26 own words: every key may hold them all, no two are similar enough."""
+    common = [f"word{i}" for i in range(124)]
+    rows = [(k, " ".join([*[f"own{k}x{i}" for i in range(26)], *common])) for k in range(120)]
+    made = []
+    meetings = minhash_dedup._meetings
+    monkeypatch.setattr(minhash_dedup, "_meetings", lambda first: made.append(meetings(first)) or made[-1])
+    got = named(minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute.near_duplicates(rows)
+    assert made and all(pairs.count() == 0 for pairs in made)
+
+
+def test_similarities_about_the_threshold_and_sizes_that_differ(spark):
+    common = [f"word{i}" for i in range(130)]
+    rows = [(k, " ".join([*common[: 130 - k % 40], *[f"own{k}x{i}" for i in range(8 + k % 18)]])) for k in range(90)]
+    got = named(minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    want = brute.near_duplicates(rows)
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == want
+    assert 1 < len({c for _, c, _ in want.values()}) < 90
+
+
 def test_large_family_and_shared_passage(spark):
     base = [f"word{i}" for i in range(150)]
     rows = [(k, " ".join([*base[: k % 140], f"odd{k}", *base[k % 140 + 1 :]])) for k in range(250)]
@@ -289,6 +310,29 @@ def test_binomial_tail(spark):
     assert 0 < huge < 1
 
 
+BLOCKS = [f"A long paragraph, with commas, and text enough to score, {n}." for n in ("one", "two", "three")]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div class=story><p title=it's>{}</p><p>{}</p><p title='x'>{}</p></div>", BLOCKS),
+        ('<div><p title="a > b" class=c>{}</p><p>{}</p><p>{}</p></div>', BLOCKS),
+        ('<div><p>{}</p><p>{}</p><p>see <a href="x>link</a> and <a href="y">other</a></p><p>{}</p></div>', [*BLOCKS[:2], "see link and other", BLOCKS[2]]),
+        ('<form id="form1" action="/x"><input type=hidden><div><p>{}</p><p>{}</p><p>{}</p></div></form>', BLOCKS),
+        ("<article><p>{}</p><p>{}</p><form><p>Leave a reply, please, in this form, at once.</p></form><p>{}</p></article>", BLOCKS),
+        ("<main><article><p>{}</p></article><article><p>{}</p><p>{}</p></article></main>", BLOCKS),
+        ("<article><p>{}</p></article><article><p>{}</p><p>{}</p></article><article><p><a href=z>All that is to be read, elsewhere</a></p></article>", BLOCKS),
+        (
+            "<article><p>{}</p><p>{}</p><p>If <label>x</label> is <math><mi>y</mi><mo>=</mo><mn>2</mn></math> <svg><text>no</text></svg>then.</p><label>Find</label><p>{}</p></article>",
+            [*BLOCKS[:2], "If x is y=2 then.", BLOCKS[2]],
+        ),
+    ],
+)
+def test_no_text_of_the_article_is_lost(page, want):
+    assert html_extraction.main_text(f"<html><body>{page.format(*BLOCKS)}</body></html>").split("\n") == want
+
+
 def test_pages(spark):
     page = """<html><body><header class="site-header"><p>Site, the, long, enough, name, of, it, all</p></header>
     <div id="cookie-notice"><p>We use cookies, really, to make things better for you, ok?</p></div><div class="layout has-sidebar">
