@@ -97,7 +97,7 @@ class Remembered(dict):
         self.compute, self.older, self.characters = compute, {}, 0
 
     def __missing__(self, key):
-        size = len(key)
+        size = len(key) if isinstance(key, str) else 1
         if size > CHARACTERS // 64:  # so long a segment hardly comes again
             return self.compute(key)
         if len(self) >= REMEMBERED or self.characters + size > CHARACTERS:
