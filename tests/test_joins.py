@@ -51,6 +51,16 @@ def test_rows_covering_both_forms(spark):
     assert sorted(r.id for r in jn.keys_covering(long_rows, "id", "e", long_sets, "s", "e").collect()) == want
 
 
+def test_a_vector_travels_once_for_each_column_of_the_grid(spark):
+    """40 tiles, 4 columns: 4 copies of a left vector, not 40."""
+    x = spark.range(100).select(F.col("id").alias("x"), F.array(F.col("id").cast("double")).alias("v"))
+    y = spark.range(120).select(F.col("id").alias("y"), F.array(F.col("id").cast("double")).alias("w"))
+    assert jn.grid_cells(x, "x", "v", F.lit(4), 4).groupBy("x").count().agg(F.min("count"), F.max("count")).first() == (4, 4)
+    wrong = jn.distance_matrix(x, "x", "v", y, "y", "w", 3, 4).where("distance <> abs(x - y)")
+    got = jn.distance_matrix(x, "x", "v", y, "y", "w", 3, 4)
+    assert wrong.count() == 0 and got.select("x", "y").distinct().count() == got.count() == 12_000
+
+
 @pytest.mark.parametrize("tile, spread", [(1, 1), (3, 2), (512, 16)])
 def test_distance_matrix(spark, tile, spread):
     rng = random.Random(2)

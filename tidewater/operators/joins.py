@@ -92,32 +92,27 @@ def direct_product(df: DataFrame, vectors: str, alias: str = "combination") -> D
 
 
 def distance_matrix(left: DataFrame, left_id: str, left_vec: str, right: DataFrame, right_id: str, right_vec: str,
-                    tile_rows: int = 512, spread: int = 16) -> DataFrame:
+                    tile_rows: int = 512, grid: int = 16) -> DataFrame:
     """Euclidean distance of every left vector to every right vector as (left, right, distance).
 
     The result has |left| x |right| rows by definition. It is computed as a blocked matrix
-    product: the right side is cut into tiles of about ``tile_rows`` vectors, each left
-    block meets each tile once by an equi-join on (tile, spread), and a tile is the only
-    thing held in memory. ``spread`` splits the left rows that meet one tile over tasks.
+    product on a grid: the right side is cut into tiles of about ``tile_rows`` vectors, each a
+    member of one of ``grid`` columns; left vectors belong to one of ``grid`` rows. A left vector
+    travels once to each column, a tile once to each row, however many tiles there are; they meet
+    by an equi-join on the cell. No more than a tile is held at once.
     """
     tile_count = F.greatest(F.ceil(right.select(F.count("*")).scalar() / F.lit(tile_rows)), F.lit(1)).cast("int")
+    columns = F.least(F.lit(grid), tile_count)
     tiles = (
         right.select(
             F.pmod(F.xxhash64(right_id), tile_count).cast("int").alias("_tile"),
             F.struct(F.col(right_id).alias("id"), F.col(right_vec).cast("array<double>").alias("v")).alias("_r"),
         )
         .groupBy("_tile").agg(F.collect_list("_r").alias("_block"))
-        .withColumn("_spread", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    )
-    rows = left.select(
-        F.col(left_id),
-        F.col(left_vec).cast("array<double>").alias("_v"),
-        F.pmod(F.xxhash64(left_id), F.lit(spread)).cast("int").alias("_spread"),
-        F.explode(F.sequence(F.lit(0), tile_count - 1)).alias("_tile"),
-    )
-    distances = rows.join(tiles, ["_tile", "_spread"]).select(
-        F.col(left_id), "_v", F.explode("_block").alias("_r")
+        .select(F.pmod("_tile", columns).alias("_column"), "_block", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_row"))
     )
+    rows = grid_cells(left, left_id, left_vec, columns, grid)
+    distances = rows.join(tiles, ["_column", "_row"]).select(F.col(left_id), "_v", F.explode("_block").alias("_r"))
     return distances.select(
         F.col(left_id),
         F.col("_r.id").alias(right_id),
@@ -125,6 +120,16 @@ def distance_matrix(left: DataFrame, left_id: str, left_vec: str, right: DataFra
     )
 
 
+def grid_cells(left: DataFrame, left_id: str, left_vec: str, columns: Column, grid: int) -> DataFrame:
+    """Each left vector once for every column of the grid, in the row its id says."""
+    return left.select(
+        F.col(left_id),
+        F.col(left_vec).cast("array<double>").alias("_v"),
+        F.pmod(F.xxhash64(left_id), F.lit(grid)).cast("int").alias("_row"),
+        F.explode(F.sequence(F.lit(0), columns - 1)).alias("_column"),
+    )
+
+
 def euclidean(a: Column, b: Column) -> Column:
     squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
